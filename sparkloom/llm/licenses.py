@@ -37,7 +37,7 @@ TEMPLATES = {
     "mpl": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
 }
 #: Share of a template's distinct words that a block must hold.
-CONTAINMENT = 0.8
+CONTAINMENT = 0.9
 
 
 def words(text: str) -> list[str]:

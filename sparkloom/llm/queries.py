@@ -17,6 +17,12 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard
+
+    return jaccard.connected(_table(spark, sf_dir, "documents"), 4, 85)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
@@ -42,7 +48,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op5_warc, op6_fingerprints, op8_licenses, op10_toxicity)}
+    return {f.__name__: f for f in (op2_bpe, op3_jaccard, op5_warc, op6_fingerprints, op8_licenses, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
