@@ -282,7 +282,9 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     sized = members.groupBy("root").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("total")).select("root", _chunks("count", "total").alias("chunks"))
     placed = members.join(sized, "root").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     placed = saved(placed, "placed")
+    # all texts are dealt out once, and only those of members are kept
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = saved(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
 
     def join(rows: DataFrame) -> DataFrame:
         return saved(_joined(rows.join(texts, "doc_id"), width, percent), "links")
