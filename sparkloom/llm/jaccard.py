@@ -2,9 +2,11 @@
 
 Equal shingle sets become one node. Nodes that may be similar are brought together exactly: the
 hash range of shingles is dealt into so many parts that sets of enough likeness must agree in at
-least one whole part. Under each group of nodes connected by such parts stands a signature tree: a
-tree node has the OR of its members' token bitmaps and their range of sizes, and a dual traversal
-drops pairs of tree nodes whose largest possible overlap is too small. Pairs left are compared.
+least one whole part. Nodes that share a part and whose bitmaps allow enough overlap form groups,
+and each group stands under a signature tree: a tree node has the OR of its members' token bitmaps
+and their range of sizes, and a dual traversal drops pairs of tree nodes whose largest possible
+overlap is too small. Pairs left are compared. Pairs that share a part but lie in different
+components after that pass the same test of bitmaps and sizes and are compared too.
 """
 
 from __future__ import annotations
@@ -148,11 +150,8 @@ def may_link(a: tuple, b: tuple, percent: int) -> bool:
     need = -(-percent * (a[2] + b[2]) // (100 + percent))
     if min(a[3], b[3]) < need:
         return False
-    n = min(len(a[1]), len(b[1]))
-    x, y = (v if len(v) == n else np.bitwise_or.reduce(v.reshape(-1, n), axis=0) for v in (a[1], b[1]))
     # common tokens lie in common bits, one in each but for those that share a bit with another
-    excess = min(a[4] + (0 if len(a[1]) == n else int(np.bitwise_count(a[1]).sum())), b[4] + (0 if len(b[1]) == n else int(np.bitwise_count(b[1]).sum())))
-    return int(np.bitwise_count(x & y).sum()) + excess >= need
+    return int(np.bitwise_count(a[1] & b[1]).sum()) + min(a[4], b[4]) >= need
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -164,11 +163,9 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def tree_links(left: Tree, right: Tree | None, percent: int) -> Iterator[tuple[int, int]]:
-    """Links that connect what all links do: of left with itself or with right; pairs connected already are not compared."""
-    other = left if right is None else right
-    shift = 0 if right is None else len(left.sets)
-    parent = list(range(shift + len(other.sets)))
+def tree_links(tree: Tree, percent: int) -> Iterator[tuple[int, int]]:
+    """Links of a tree's sets that connect what all links do; pairs connected already are not compared."""
+    parent = list(range(len(tree.sets)))
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -176,22 +173,23 @@ def tree_links(left: Tree, right: Tree | None, percent: int) -> Iterator[tuple[i
             i = parent[i]
         return i
 
-    stack = [(left.root, other.root)]
+    stack = [(tree.root, tree.root)]
     while stack:
         a, b = stack.pop()
-        if not (a is b or may_link(a, b, percent)):
+        if a is b:
+            if not isinstance(a[0][0], int):
+                stack += [(a[0][i], a[0][j]) for i in range(len(a[0])) for j in range(i, len(a[0]))]
             continue
         leaf_a, leaf_b = isinstance(a[0][0], int), isinstance(b[0][0], int)
+        if leaf_a and leaf_b and find(a[0][0]) == find(b[0][0]):
+            continue
+        if not may_link(a, b, percent):
+            continue
         if leaf_a and leaf_b:
             i, j = a[0][0], b[0][0]
-            if (right is None and i == j) or find(i) == find(j + shift):
-                continue
-            if linked(left.sets[i], other.sets[j], percent):
-                parent[find(i)] = find(j + shift)
+            if linked(tree.sets[i], tree.sets[j], percent):
+                parent[find(i)] = find(j)
                 yield i, j
-        elif a is b:
-            children = a[0]
-            stack += [(children[i], children[j]) for i in range(len(children)) for j in range(i, len(children))]
         elif leaf_b or (not leaf_a and a[3] >= b[3]):
             stack += [(c, b) for c in a[0]]
         else:
@@ -211,18 +209,37 @@ def _mapped(docs: DataFrame, schema: str, width: int, one) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """A bit for each token, of as many as a power of two that is no less than the set's size."""
+    bits = 1 << max(6, (len(s) - 1).bit_length())
+    out = np.zeros(bits, np.uint8)
+    out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
+
+
+def pair_may_link(n: int, m: int, x: bytes, y: bytes, percent: int) -> bool:
+    """Whether sets of these sizes and bitmaps may link: the bound of tree nodes for two single sets."""
+    if 100 * min(n, m) < percent * max(n, m):
+        return False
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    width = min(len(a), len(b))
+    a, b = (v if len(v) == width else np.bitwise_or.reduce(v.reshape(-1, width), axis=0) for v in (a, b))
+    excess = min(n - int(np.bitwise_count(a).sum()), m - int(np.bitwise_count(b).sum()))
+    return int(np.bitwise_count(a & b).sum()) + excess >= -(-percent * (n + m) // (100 + percent))
+
+
 def nodes_of(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, node) of each row; node names its set, null if that is empty."""
+    """(doc_id, n, node, bits) of each row; node names its set, null if that is empty."""
 
     def one(state, ids, sets):
-        pairs = [(len(s), set_id(s) if len(s) else None) for s in sets]
-        return [ids, pa.array([n for n, _ in pairs], pa.int64()), pa.array([h for _, h in pairs], pa.int64())]
+        made = [(len(s), set_id(s), bitmap(s)) if len(s) else (0, None, None) for s in sets]
+        return [ids, *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))]
 
-    return saved(_mapped(docs, "doc_id bigint, n bigint, node bigint", width, one), "sets")
+    return saved(_mapped(docs, "doc_id bigint, n bigint, node bigint, bits binary", width, one), "sets")
 
 
-def candidates(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes that connect all nodes which agree in a part."""
+def shared_parts(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(key, node, least) of the parts that several nodes have; least is the smallest of these."""
 
     def one(state, ids, sets):
         keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -234,32 +251,37 @@ def candidates(docs: DataFrame, width: int, percent: int) -> DataFrame:
         return [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
 
     rows = _mapped(docs, "key bigint, node bigint", width, one)
-    least = F.min("node").over(Window.partitionBy("key"))
-    return saved(rows.withColumn("least", least).where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), "candidates")
+    of_key = Window.partitionBy("key")
+    rows = rows.select("key", "node", F.min("node").over(of_key).alias("least"), F.max("node").over(of_key).alias("most"))
+    return saved(rows.where("least != most").drop("most"), "parts")
+
+
+def _allowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs of nodes (a, b) whose sizes and bitmaps allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
+            yield batch.filter(pa.array([pair_may_link(*r, percent) for r in rows], pa.bool_())).select(["a", "b"])
+
+    one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
+    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return saved(rows.mapInArrow(run, "a bigint, b bigint"), "pairs")
 
 
 def _joined(members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links within each group g of (g, side, doc_id, node, text): of side 0 with itself, or with side 1 where the group has one."""
+    """Links within each group g of (g, doc_id, node, text)."""
 
     def run(table: pa.Table) -> pa.Table:
-        seen, sides = set(), ([], [])
-        texts = table.column("text").to_pylist()
-        for side, doc_id, node, s in zip(table.column("side").to_pylist(), table.column("doc_id").to_pylist(), table.column("node").to_pylist(), shingles(texts, width), strict=True):
-            if (side, node) not in seen and len(s) and set_id(s) == node:
-                seen.add((side, node))
-                sides[side].append((doc_id, s))
-        links: list[tuple[int, int]] = []
-        if sides[0] and (sides[1] or len(sides[0]) > 1):
-            left, right = Tree([s for _, s in sides[0]]), Tree([s for _, s in sides[1]]) if sides[1] else None
-            names = [d for d, _ in sides[1 if right else 0]]
-            links = [(sides[0][i][0], names[j]) for i, j in tree_links(left, right, percent)]
+        found: dict[int, tuple[int, np.ndarray]] = {}
+        for doc_id, node, s in zip(table.column("doc_id").to_pylist(), table.column("node").to_pylist(), shingles(table.column("text").to_pylist(), width), strict=True):
+            if len(s) and set_id(s) == node:
+                found.setdefault(node, (doc_id, s))
+        ids, sets = [d for d, _ in found.values()], [s for _, s in found.values()]
+        links = [(ids[i], ids[j]) for i, j in tree_links(Tree(sets), percent)] if len(ids) > 1 else []
         return pa.table([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
 
-    return members.select("g", "side", "doc_id", "node", "text").groupBy("g").applyInArrow(run, "a bigint, b bigint")
-
-
-def _chunks(n: str, size: str):
-    return F.ceil(F.greatest(F.col(n) / GROUP_NODES, F.col(size) / GROUP_SHINGLES)).cast("int")
+    return members.select("g", "doc_id", "node", "text").groupBy("g").applyInArrow(run, "a bigint, b bigint")
 
 
 def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -270,63 +292,70 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     more. A text that is null or has no words has an empty set and is linked with nothing. Repeated
     rows stay; a row without doc_id takes the component of the others, or null.
 
-    Groups of candidates that exceed what one task compares are split: first each chunk is joined
-    with itself, then one member of each of its components with those of the others, and last
-    every member outside a group's largest component with all chunks. Members of that component
-    are connected and need no comparison, so no link between components is lost.
+    Groups that exceed what one task compares are split: each chunk is joined with itself, then one
+    member of each of its components with those of the others. Whatever of a group stays apart is
+    compared, like all nodes of different components, wherever two of them share a part.
     """
     nodes = nodes_of(docs, width)
-    sets = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    groups = components(candidates(docs, width, percent)).withColumnRenamed("component", "root")
-    members = saved(groups.join(sets, "node").where("doc_id IS NOT NULL"), "members")
-    sized = members.groupBy("root").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("total")).select("root", _chunks("count", "total").alias("chunks"))
-    placed = members.join(sized, "root").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    placed = saved(placed, "placed")
-    # all texts are dealt out once, and only those of members are kept
+    sets = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("bits").alias("bits")).where("doc_id IS NOT NULL")
+    parts = shared_parts(docs, width, percent)
+    sets = saved(sets.join(parts.select("node").distinct(), "node", "left_semi"), "members")
+    # all texts are dealt out once, and only those of such sets are kept
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = saved(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    texts = saved(texts.join(sets.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    near = _allowed(parts.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent)
+    members = components(near).withColumnRenamed("component", "root").join(sets.drop("bits"), "node")
+    placed = saved(_placed(members), "placed")
 
     def join(rows: DataFrame) -> DataFrame:
+        rows = rows.select(F.struct("root", "chunk").alias("g"), "doc_id", "node")
         return saved(_joined(rows.join(texts, "doc_id"), width, percent), "links")
 
-    first = placed.select(F.struct("root", "chunk", F.lit(0).alias("part")).alias("g"), F.lit(0).alias("side"), "doc_id", "node")
-    links = join(first)
-    large = placed.where("chunks > 1")
+    links = join(placed)
+    large = placed.where("chunks > 1").drop("chunk", "chunks")
     if not large.isEmpty():
-        links = links.union(_across(large, links, join))
+        one = _with_component(large, links).groupBy("root", "component").agg(F.min(F.struct("doc_id", "node", "n")).alias("r")).select("root", "r.*")
+        links = links.union(join(_placed(one)))
+    now = saved(_with_component(sets.select("node", "doc_id"), links).select("node", "component"), "now")
+    apart = parts.select("key", "node").join(now, "node")
+    mixed = apart.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
+    apart = saved(apart.join(mixed, "key"), "apart")
+    other = apart.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
+    pairs = apart.withColumnRenamed("node", "a").join(other, "key").where("component < other").select("a", "b").distinct()
+    left = _allowed(pairs, sets, percent)
+    if not left.isEmpty():
+        links = links.union(_compared(left, sets, texts, width, percent))
     found = components(links)
-    named = sets.join(found, sets.doc_id == found.node, "left").select(sets.node, F.coalesce("component", sets.doc_id).alias("component_id"))
+    named = sets.join(found, sets.doc_id == found.node, "inner").select(sets.node, F.col("component").alias("component_id"))
+    first = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"))
+    named = first.join(named, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
     return nodes.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _across(large: DataFrame, links: DataFrame, join) -> DataFrame:
-    """Links between chunks of split groups."""
-
-    def with_component(rows: DataFrame, links: DataFrame) -> DataFrame:
-        found = components(links).withColumnRenamed("node", "d")
-        return rows.join(found, rows.doc_id == found.d, "left").select(*[rows[c] for c in rows.columns], F.coalesce("component", "doc_id").alias("component"))
-
-    now = saved(with_component(large, links), "across")
-    one = now.groupBy("root", "component").agg(F.min(F.struct("doc_id", "node", "n")).alias("r")).select("root", "r.*")
-    sized = one.groupBy("root").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("total")).select("root", _chunks("count", "total").alias("chunks"))
-    one = one.join(sized, "root").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    between = join(one.select(F.struct("root", "chunk", F.lit(0).alias("part")).alias("g"), F.lit(0).alias("side"), "doc_id", "node"))
-    now = saved(with_component(large, links.union(between)), "across")
-    biggest = now.groupBy("root", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("root").agg(F.max_by("component", F.struct("c", "component")).alias("biggest"))
-    outside = saved(now.join(biggest, "root").where("component != biggest"), "outside")
-    if outside.isEmpty():
-        return between
-    # members outside go, in batches, to every chunk of their group
-    batch = outside.groupBy("root").agg(_ceil_parts().alias("parts"))
-    outside = outside.join(batch, "root").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-    sent = outside.select("root", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "part", "doc_id", "node", F.lit(1).alias("side"))
-    held = large.join(batch, "root").select("root", "chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "doc_id", "node", F.lit(0).alias("side"))
-    rows = sent.unionByName(held).select(F.struct("root", "chunk", "part").alias("g"), "side", "doc_id", "node")
-    return between.union(join(rows))
-
-
-def _ceil_parts():
-    return F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_NODES, F.sum("n") / GROUP_SHINGLES)).cast("int")
+def _placed(members: DataFrame) -> DataFrame:
+    """members (root, node, doc_id, n) with the chunk of their group that they belong to."""
+    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_NODES, F.sum("n") / GROUP_SHINGLES)).cast("int").alias("chunks")
+    return members.join(members.groupBy("root").agg(chunks), "root").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+
+
+def _with_component(rows: DataFrame, links: DataFrame) -> DataFrame:
+    found = components(links).withColumnRenamed("node", "d")
+    return rows.join(found, rows.doc_id == found.d, "left").select(*[rows[c] for c in rows.columns], F.coalesce("component", "doc_id").alias("component"))
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (of doc_ids) among pairs (a, b) of nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (list(shingles(batch.column(c).to_pylist(), width)) for c in ("text_a", "text_b"))
+            same = [linked(x, y, percent) for x, y in zip(one, two, strict=True)]
+            yield batch.select(["doc_a", "doc_b"]).filter(pa.array(same, pa.bool_())).rename_columns(["a", "b"])
+
+    # of rows that repeat an id, the one whose text has the node's set can't be told here: all are tried
+    named = sets.select("node", "doc_id").join(texts, "doc_id")
+    one, two = (named.select(F.col("node").alias(x), F.col("doc_id").alias(f"doc_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
+    return saved(pairs.join(one, "a").join(two, "b").select("doc_a", "doc_b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "links")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
