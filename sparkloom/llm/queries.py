@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secrets
+
+    return secrets.reported(_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
@@ -23,6 +29,12 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.connected(_table(spark, sf_dir, "documents"), 4, 85)
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate
+
+    return decontaminate.reported(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import warc
 
@@ -48,7 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_bpe, op3_jaccard, op5_warc, op6_fingerprints, op8_licenses, op10_toxicity)}
+    return {f.__name__: f for f in (op1_secrets, op2_bpe, op3_jaccard, op4_decontaminate, op5_warc, op6_fingerprints, op8_licenses, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
