@@ -47,6 +47,12 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared(_table(spark, sf_dir, "documents"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import chat
+
+    return chat.reported(_table(spark, sf_dir, "conversations"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import licenses
 
@@ -60,7 +66,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_bpe, op3_jaccard, op4_decontaminate, op5_warc, op6_fingerprints, op8_licenses, op10_toxicity)}
+    return {f.__name__: f for f in (op1_secrets, op2_bpe, op3_jaccard, op4_decontaminate, op5_warc, op6_fingerprints, op7_chat, op8_licenses, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
