@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tpch
+from . import kernels, relational, tpch
 
-_MODULES = (tpch,)
+_MODULES = (tpch, kernels, relational)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
