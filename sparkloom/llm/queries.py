@@ -59,6 +59,12 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.labelled(_table(spark, sf_dir, "documents"))
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffixes
+
+    return suffixes.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
@@ -66,7 +72,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_bpe, op3_jaccard, op4_decontaminate, op5_warc, op6_fingerprints, op7_chat, op8_licenses, op10_toxicity)}
+    return {f.__name__: f for f in (op1_secrets, op2_bpe, op3_jaccard, op4_decontaminate, op5_warc, op6_fingerprints, op7_chat, op8_licenses, op9_suffixes, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
