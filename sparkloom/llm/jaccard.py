@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import components, mix, saved, word_hashes, word_spans
+from .shared import components, freed, mix, saved, word_hashes, word_spans
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -303,6 +303,7 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     # all texts are dealt out once, and only those of such sets are kept
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = saved(texts.join(sets.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    freed(docs.sparkSession)
     near = _allowed(parts.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent)
     members = components(near).withColumnRenamed("component", "root").join(sets.drop("bits"), "node")
     placed = saved(_placed(members), "placed")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,6 +33,12 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of DataFrames that are gone, rather than when the driver's memory fills."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), component being the smallest node of each.
 

@@ -20,11 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import BYTE_VALUES, mix, powers, saved
+from .shared import BYTE_VALUES, freed, mix, powers, saved
 
 LENGTH = 50
 #: Bytes of an anchor's k-gram: small, so that anchors are rare; large, so that few are shared by chance.
-GRAM = 16
+GRAM = 24
 #: Strings of LENGTH bytes per anchor at most, and bytes to the left of an anchor that they reach.
 REACH = LENGTH - GRAM
 #: Suffixes of a run.
@@ -273,12 +273,14 @@ def removal(docs: DataFrame) -> DataFrame:
     """(doc_id, text, spans): spans, an array of (start, end), of bytes covered by strings that also start in a smaller document; null if none."""
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = shared_anchors(docs)
+    freed(docs.sparkSession)
     whole = found.where("doc_id > first_same").select("doc_id", F.greatest(F.col("place") - REACH, F.lit(0)).alias("start"), (F.col("place") + LENGTH).alias("end"))
     # one anchor of each kind of surroundings stands for all of them
     apart = found.where("NOT alone").groupBy("gram", "around").agg(F.min(F.struct("doc_id", "place")).alias("r")).select("r.doc_id", "r.place")
     places = apart.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     strings = removed_strings(docs, places, ranges).select("doc_id", "start", (F.col("start") + LENGTH).alias("end"))
+    freed(docs.sparkSession)
     spans = whole.union(strings).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return docs.join(spans, "doc_id", "left")
 
