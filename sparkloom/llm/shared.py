@@ -5,8 +5,10 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,20 +41,57 @@ def freed(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Edges that one task contracts at a time.
+SHARE = 50_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each share of edges (u, v) its components as stars: every other node with the smallest."""
+
+    def stars(parent: dict[int, int]) -> pa.RecordBatch:
+        rows = [(u, v) for u in parent if (v := _root(parent, u)) != u]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+    parent: dict[int, int] = {}
+    have = 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, SHARE):
+            part = batch.slice(at, SHARE)
+            if have and have + part.num_rows > SHARE:
+                yield stars(parent)
+                parent, have = {}, 0
+            have += part.num_rows
+            for u, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                a, b = _root(parent, u), _root(parent, v)
+                parent[max(a, b)] = min(a, b)
+    yield stars(parent)
+
+
+def _root(parent: dict[int, int], u: int) -> int:
+    while (v := parent.setdefault(u, u)) != u:
+        parent[u] = u = parent.setdefault(v, v)
+    return u
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (node, component), component being the smallest node of each.
 
-    Large-star and small-star steps alternate until nothing changes; every step is a join on a
-    node and its smallest neighbour, so no component is ever in one task. Nodes without an edge
-    to another node give no row; an edge with a null end is ignored.
+    Every task contracts shares of at most SHARE edges to stars. Of several shares, large-star and
+    small-star steps alternate after that until nothing changes; every step is a join on a node and
+    its smallest neighbour, so no component is ever in one task. Nodes without an edge to another
+    node give no row; an edge with a null end is ignored.
     """
-    u, v = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    e = saved(edges.where(F.col("a") != F.col("b")).select(u, v).distinct(), "edges")
+
+    def contracted(x: DataFrame, n: int) -> DataFrame:
+        return saved(x.coalesce(max(1, -(-n // SHARE))).mapInArrow(_forest, "u bigint, v bigint"), "edges")
 
     def mark(x: DataFrame):
         return x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    before = mark(e)
+    e = saved(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").cast("bigint").alias("u"), F.least("a", "b").cast("bigint").alias("v")), "edges")
+    n = e.count()
+    e = contracted(e, n)
+    before = mark(e) if n > SHARE else [0]
     while before[0]:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
