@@ -1,18 +1,18 @@
 """N-gram Jaccard join by signature trees.
 
 Equal shingle sets become one node. Nodes that may be similar are brought together exactly: the
-hash range of shingles is dealt into so many parts that sets of enough likeness must agree in at
-least one whole part. Nodes that share a part and whose bitmaps allow enough overlap form groups,
-and each group stands under a signature tree: a tree node has the OR of its members' token bitmaps
-and their range of sizes, and a dual traversal drops pairs of tree nodes whose largest possible
-overlap is too small. Pairs left are compared. Pairs that share a part but lie in different
+shingles of each set are put in order of how often their counter has been met in all sets, rarest
+first, and two sets of enough likeness share one of their first few. The counters are a fixed
+number of sums over all documents; they only order shingles, so shared ones lose no link. Nodes
+that share a rare shingle and whose bitmaps allow enough overlap form groups, and each group
+stands under a signature tree: a tree node has the OR of its members' token bitmaps and their
+range of sizes, and a dual traversal drops pairs of tree nodes whose largest possible overlap is
+too small. Pairs left are compared. Pairs that share a rare shingle but lie in different
 components after that pass the same test of bitmaps and sizes and are compared too.
 """
 
 from __future__ import annotations
 
-import functools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +24,8 @@ from .shared import components, freed, mix, saved, word_hashes, word_spans
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-#: Sizes of one class differ by this factor at most; it must be no less than 1 / likeness.
-CLASS_RATIO = 1.3
+#: Counters of shingles; their ranks, a byte each, are all that is broadcast.
+COUNTERS = 1 << 20
 #: Nodes and shingles that one task compares with each other; larger groups are split.
 GROUP_NODES, GROUP_SHINGLES = 512, 400_000
 FANOUT = 8
@@ -69,53 +69,14 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(mix(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
 
 
-@functools.lru_cache(maxsize=4096)
-def scheme(low: int, high: int, percent: int) -> tuple[int, int, int]:
-    """For sets of sizes up to high: parts, how many of them must agree, and up to how many tokens make a part weak.
+def rare(s: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest of a set's shingles, so many that it shares one of them with every set of enough likeness.
 
-    Sets of enough likeness differ in at most d tokens, hence in at most d parts. Weak parts agree
-    by chance; a set whose weak parts are fewer than the parts that must agree leaves them out,
-    for then some part that agrees is none of them.
+    Of n shingles such a set has percent / 100 * n or more, and likewise of its own; were none of
+    the first n - that + 1 of either common, the common ones would be too few. Equal ranks go by value.
     """
-    d = (100 - percent) * 2 * high // (100 + percent)
-    weak = 1 if percent >= 85 else 0
-    parts = d + 1
-    for _ in range(4 if d else 0):
-        lam = max(low, 1) / parts
-        p = math.exp(-lam) * (1 + weak * lam)
-        parts = d + 1 + math.ceil(parts * p + 3 * math.sqrt(parts * p))
-    return parts, parts - d, weak
-
-
-@functools.lru_cache(maxsize=4096)
-def size_class(n: int) -> tuple[int, int, int]:
-    """The class of a size: number, smallest and largest size."""
-    c, low = 0, 1
-    while True:
-        high = max(low, int(low * CLASS_RATIO))
-        if n <= high:
-            return c, low, high
-        c, low = c + 1, high + 1
-
-
-def part_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the parts of a set, in the scheme of its class and, if larger partners may lie there, of the next."""
-    c, low, high = size_class(len(s))
-    todo = [(c, low, high)]
-    if (high + 1) * percent <= 100 * len(s):
-        todo.append(size_class(high + 1))
-    sums = np.zeros(len(s) + 1, np.uint64)
-    np.cumsum(mix(s ^ np.uint64(0xD6E8FEB86659FD93)), out=sums[1:])
-    out = []
-    for c, low, high in todo:
-        parts, agree, weak = scheme(low, high, percent)
-        edges = np.searchsorted(s, np.arange(1, parts, dtype=np.uint64) * np.uint64((2**64 - 1) // parts))
-        edges = np.concatenate([[0], edges, [len(s)]])
-        sizes = np.diff(edges)
-        keys = mix((sums[edges[1:]] - sums[edges[:-1]]) + mix(np.arange(parts, dtype=np.uint64) + np.uint64(c << 32)))
-        strong = sizes > weak
-        out.append(keys[strong] if parts - strong.sum() < agree else keys)
-    return np.concatenate(out)
+    order = (ranks[(s & np.uint64(COUNTERS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
+    return s[np.argsort(order, kind="stable")[: len(s) - -(-percent * len(s) // 100) + 1]]
 
 
 class Tree:
@@ -196,15 +157,18 @@ def tree_links(tree: Tree, percent: int) -> Iterator[tuple[int, int]]:
             stack += [(a, c) for c in b[0]]
 
 
-def _mapped(docs: DataFrame, schema: str, width: int, one) -> DataFrame:
-    """one: from ids and sets of a batch to columns."""
+def _mapped(docs: DataFrame, schema: str, width: int, one, last=None) -> DataFrame:
+    """one: from a task's state, ids and sets of a batch to columns; last: from the state to those at the task's end."""
+    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for i in range(0, len(texts), 500):
-                yield pa.RecordBatch.from_arrays(one(state, ids[i : i + 500], shingles(texts[i : i + 500], width)), names=[x.split()[0] for x in schema.split(", ")])
+                yield pa.RecordBatch.from_arrays(one(state, ids[i : i + 500], shingles(texts[i : i + 500], width)), names=names)
+        if last and state:
+            yield pa.RecordBatch.from_arrays(last(state), names=names)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
 
@@ -228,31 +192,48 @@ def pair_may_link(n: int, m: int, x: bytes, y: bytes, percent: int) -> bool:
     return int(np.bitwise_count(a & b).sum()) + excess >= -(-percent * (n + m) // (100 + percent))
 
 
-def nodes_of(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n, node, bits) of each row; node names its set, null if that is empty."""
+def nodes_of(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, n, node, bits) of each row, and the rank of each counter of shingles; node names a set, null if that is empty."""
 
     def one(state, ids, sets):
-        made = [(len(s), set_id(s), bitmap(s)) if len(s) else (0, None, None) for s in sets]
-        return [ids, *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary())))]
+        made = []
+        counts, seen = state.setdefault("counts", np.zeros(COUNTERS, np.int64)), state.setdefault("seen", set())
+        for s in sets:
+            made.append((len(s), set_id(s), bitmap(s)) if len(s) else (0, None, None))
+            if len(s) and made[-1][1] not in seen:  # copies of a set in one task count once
+                seen.add(made[-1][1])
+                np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+        return [ids, *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))), pa.array([False] * len(ids))]
+
+    def last(state):
+        at = np.flatnonzero(state["counts"])
+        return [pa.nulls(len(at), pa.int64()), pa.array(state["counts"][at]), pa.array(at), pa.nulls(len(at), pa.binary()), pa.array(np.ones(len(at), bool))]
 
-    return saved(_mapped(docs, "doc_id bigint, n bigint, node bigint, bits binary", width, one), "sets")
+    rows = saved(_mapped(docs, "doc_id bigint, n bigint, node bigint, bits binary, counter boolean", width, one, last), "sets")
+    sums = rows.where("counter").groupBy("node").agg(F.sum("n").alias("n"))
+    found = sums.select(F.col("node").cast("int"), F.floor(2 * F.log2("n")).cast("tinyint").alias("rank")).toArrow()
+    ranks = np.zeros(COUNTERS, np.uint8)
+    ranks[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return rows.where("NOT counter").drop("counter"), ranks
 
 
-def shared_parts(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, node, least) of the parts that several nodes have; least is the smallest of these."""
+def shared_parts(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -> DataFrame:
+    """(key, node, n, least) of the rare shingles that several nodes have; least is the smallest of these, n a node's size."""
+    all_ranks = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def one(state, ids, sets):
-        keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        keys, nodes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
         for s in sets:
             if len(s) and (h := set_id(s)) not in state:  # copies of a set in one task give its keys once
                 state[h] = None
-                keys.append(part_keys(s, percent))
+                keys.append(rare(s, all_ranks.value, percent))
                 nodes.append(np.full(len(keys[-1]), h))
-        return [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
+                sizes.append(np.full(len(keys[-1]), len(s), np.int32))
+        return [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))]
 
-    rows = _mapped(docs, "key bigint, node bigint", width, one)
+    rows = _mapped(docs, "key bigint, node bigint, n int", width, one)
     of_key = Window.partitionBy("key")
-    rows = rows.select("key", "node", F.min("node").over(of_key).alias("least"), F.max("node").over(of_key).alias("most"))
+    rows = rows.select("key", "node", "n", F.min("node").over(of_key).alias("least"), F.max("node").over(of_key).alias("most"))
     return saved(rows.where("least != most").drop("most"), "parts")
 
 
@@ -294,19 +275,17 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
 
     Groups that exceed what one task compares are split: each chunk is joined with itself, then one
     member of each of its components with those of the others. Whatever of a group stays apart is
-    compared, like all nodes of different components, wherever two of them share a part.
+    compared, like all nodes of different components, wherever two of them share a rare shingle.
     """
-    nodes = nodes_of(docs, width)
+    nodes, ranks = nodes_of(docs, width)
     sets = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("bits").alias("bits")).where("doc_id IS NOT NULL")
-    parts = shared_parts(docs, width, percent)
+    parts = shared_parts(docs, ranks, width, percent)
     sets = saved(sets.join(parts.select("node").distinct(), "node", "left_semi"), "members")
-    # all texts are dealt out once, and only those of such sets are kept
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = saved(texts.join(sets.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
-    freed(docs.sparkSession)
     near = _allowed(parts.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent)
     members = components(near).withColumnRenamed("component", "root").join(sets.drop("bits"), "node")
     placed = saved(_placed(members), "placed")
+    texts = _texts(docs, placed)
+    freed(docs.sparkSession)
 
     def join(rows: DataFrame) -> DataFrame:
         rows = rows.select(F.struct("root", "chunk").alias("g"), "doc_id", "node")
@@ -318,14 +297,14 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         one = _with_component(large, links).groupBy("root", "component").agg(F.min(F.struct("doc_id", "node", "n")).alias("r")).select("root", "r.*")
         links = links.union(join(_placed(one)))
     now = saved(_with_component(sets.select("node", "doc_id"), links).select("node", "component"), "now")
-    apart = parts.select("key", "node").join(now, "node")
+    apart = parts.select("key", "node", "n").join(now, "node")
     mixed = apart.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
     apart = saved(apart.join(mixed, "key"), "apart")
-    other = apart.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-    pairs = apart.withColumnRenamed("node", "a").join(other, "key").where("component < other").select("a", "b").distinct()
+    other = apart.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    pairs = apart.withColumnRenamed("node", "a").join(other, "key").where("component < other").where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("a", "b").distinct()
     left = _allowed(pairs, sets, percent)
     if not left.isEmpty():
-        links = links.union(_compared(left, sets, texts, width, percent))
+        links = links.union(_compared(left, sets, docs, width, percent))
     found = components(links)
     named = sets.join(found, sets.doc_id == found.node, "inner").select(sets.node, F.col("component").alias("component_id"))
     first = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"))
@@ -333,6 +312,12 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     return nodes.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(doc_id, text) of the rows of docs that members (doc_id) name."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return saved(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+
+
 def _placed(members: DataFrame) -> DataFrame:
     """members (root, node, doc_id, n) with the chunk of their group that they belong to."""
     chunks = F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_NODES, F.sum("n") / GROUP_SHINGLES)).cast("int").alias("chunks")
@@ -344,7 +329,7 @@ def _with_component(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(found, rows.doc_id == found.d, "left").select(*[rows[c] for c in rows.columns], F.coalesce("component", "doc_id").alias("component"))
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _compared(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (of doc_ids) among pairs (a, b) of nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,7 +339,8 @@ def _compared(pairs: DataFrame, sets: DataFrame, texts: DataFrame, width: int, p
             yield batch.select(["doc_a", "doc_b"]).filter(pa.array(same, pa.bool_())).rename_columns(["a", "b"])
 
     # of rows that repeat an id, the one whose text has the node's set can't be told here: all are tried
-    named = sets.select("node", "doc_id").join(texts, "doc_id")
+    named = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "doc_id")
+    named = named.join(_texts(docs, named), "doc_id")
     one, two = (named.select(F.col("node").alias(x), F.col("doc_id").alias(f"doc_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
     return saved(pairs.join(one, "a").join(two, "b").select("doc_a", "doc_b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "links")
 

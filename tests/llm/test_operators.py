@@ -20,7 +20,9 @@ def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
-def test_components(spark):
+@pytest.mark.parametrize("share", [20, 50_000])
+def test_components(spark, monkeypatch, share):
+    monkeypatch.setattr(shared, "SHARE", share)
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 360)] + [(5, 5), (None, 3)]
     parent = {}
@@ -140,8 +142,9 @@ def test_jaccard_edges(edge, none):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 8, 9]
 
 
-def test_parts_of_linked_sets_agree():
+def test_linked_sets_share_a_rare_shingle():
     rng = np.random.default_rng(2)
+    ranks = rng.integers(0, 5, jaccard.COUNTERS, dtype=np.uint8)
     for _ in range(300):
         n = int(rng.integers(1, 400))
         a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
@@ -149,7 +152,7 @@ def test_parts_of_linked_sets_agree():
         b = np.unique(np.concatenate([keep, rng.integers(0, 2**63, int(rng.integers(0, 1 + n // 12)), dtype=np.uint64)]))
         for percent in (80, 85):
             if len(b) and jaccard.linked(a, b, percent):
-                assert set(jaccard.part_keys(a, percent)) & set(jaccard.part_keys(b, percent))
+                assert set(jaccard.rare(a, ranks, percent)) & set(jaccard.rare(b, ranks, percent))
                 assert jaccard.pair_may_link(len(a), len(b), jaccard.bitmap(a), jaccard.bitmap(b), percent)
 
 
