@@ -275,9 +275,8 @@ def removal(docs: DataFrame) -> DataFrame:
     found = shared_anchors(docs)
     freed(docs.sparkSession)
     whole = found.where("doc_id > first_same").select("doc_id", F.greatest(F.col("place") - REACH, F.lit(0)).alias("start"), (F.col("place") + LENGTH).alias("end"))
-    # one anchor of each kind of surroundings stands for all of them
-    apart = found.where("NOT alone").groupBy("gram", "around").agg(F.min(F.struct("doc_id", "place")).alias("r")).select("r.doc_id", "r.place")
-    places = apart.groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    # the smallest document of each kind of surroundings stands for the others, with all of its places: strings go from each of them
+    places = found.where("NOT alone AND doc_id = first_same").groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     strings = removed_strings(docs, places, ranges).select("doc_id", "start", (F.col("start") + LENGTH).alias("end"))
     freed(docs.sparkSession)

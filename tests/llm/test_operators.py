@@ -322,6 +322,21 @@ def test_suffixes(spark, edge, none):
     assert len(repeated) == 2 and all(r["n_removed"] == r["n_bytes"] for r in repeated)
 
 
+def test_suffixes_repeated_within_a_document(spark):
+    """Every place of a repeated line or a long run of one character goes, not only the first of its document."""
+    rng = random.Random(12)
+    piece = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line = piece(59) + "\n"
+    found = spark.createDataFrame([(1, "head of one " + line + "tail of one"), (2, line * 8)], "doc_id bigint, text string")
+    assert suffixes.deduplicated(found).where("doc_id = 2").first()["n_removed"] == 480
+    dashes = spark.createDataFrame([(1, "-" * 60), (2, "-" * 480)], "doc_id bigint, text string")
+    assert suffixes.deduplicated(dashes).where("doc_id = 2").first()["n_removed"] == 480
+    lines = [piece(n) + "\n" for n in (40, 52, 60, 75)] + ["-" * 70, "=" * 300, "ab" * 90]
+    rows = [(i, piece(rng.randrange(40)) + "".join(rng.choice(lines) * rng.randrange(1, 9) + piece(rng.choice([0, 0, 3, 30])) for _ in range(4))) for i in range(40)]
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffixes.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute_removal(rows)
+
+
 def test_merge_of_runs():
     rng = random.Random(2)
     for k in (1, 2, 3, 7):
