@@ -52,13 +52,16 @@ class Templates:
     """
 
     def __init__(self, templates: dict[str, list[str]], containment: float, frequency: dict[str, int] | None = None):
-        sets = [(label, set(words(t))) for label, texts in templates.items() for t in texts]
+        texts_ = [(label, words(t)) for label, texts in templates.items() for t in texts]
+        sets = [(label, set(w)) for label, w in texts_]
         frequency = frequency or {}
         self.vocabulary = sorted({w for _, s in sets for w in s}, key=lambda w: (frequency.get(w, 0), w))
         number = {w: i for i, w in enumerate(self.vocabulary)}
         self.labels = [label for label, _ in sets]
         self.sets = [np.array(sorted(number[w] for w in s)) for _, s in sets]
         self.need = [max(1, math.ceil(containment * len(s) - 1e-9)) for s in self.sets]
+        #: Of each template the word numbers as they stand in it.
+        self.rows = [[number[w] for w in ws] for _, ws in texts_]
         self.prefix: dict[int, list[tuple[int, int]]] = {}
         for t, s in enumerate(self.sets):
             for position, w in enumerate(s[: len(s) - self.need[t] + 1]):
@@ -67,7 +70,7 @@ class Templates:
         hashes = word_hashes(joined, *word_spans(joined, IS_WORD))
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
-        self.longest = max((len(words(t)) for texts in templates.values() for t in texts), default=1)
+        self.longest = max((len(w) for _, w in texts_), default=1)
 
     def numbers(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the words that templates have, and their numbers."""
@@ -91,6 +94,41 @@ class Templates:
                     out.append((t, held / len(self.sets[t])))
         return out
 
+    def in_order(self, k: int, block: list[int]) -> tuple[int, int, int]:
+        """Distinct words in the longest common subsequence of template k and a block (word numbers as they stand), and where its first and last words are."""
+        table = [[(0, 0)] * (len(self.rows[k]) + 1)]  # length, and the latest place of the first word
+        for i, w in enumerate(block):
+            above, row = table[-1], [(0, 0)]
+            for j, x in enumerate(self.rows[k]):
+                best = max(above[j + 1], row[j])
+                if x == w:
+                    n, first = above[j]
+                    best = max(best, (n + 1, first if n else i))
+                row.append(best)
+            table.append(row)
+        j = len(self.rows[k])
+        i = end = next(i for i, row in enumerate(table) if row[j] == table[-1][j])
+        held = set()
+        while table[i][j][0]:
+            if table[i - 1][j] == table[i][j]:
+                i -= 1
+            elif table[i][j - 1] == table[i][j]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                held.add(self.rows[k][j])
+        return len(held), table[end][-1][1], end - 1
+
+
+def blocks(key: np.ndarray, half: np.ndarray, hit: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and numbers of the words of each block: two halves in a row of one key (a line); each word is in the block that its half begins and in the one before."""
+    rows = np.stack([np.tile(key, 2), np.concatenate([half, half - 1]), np.tile(hit, 2), np.tile(number, 2)])
+    rows = rows[:, rows[1] >= 0]
+    rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
+    cuts = np.flatnonzero(np.any(np.diff(rows[:2], axis=1, prepend=-1) != 0, axis=0))
+    for lo, hi in zip(cuts, [*cuts[1:], rows.shape[1]], strict=True):
+        yield rows[2, lo:hi], rows[3, lo:hi]
+
 
 def word_frequency(docs: DataFrame, templates: dict[str, list[str]], text: str = "text") -> dict[str, int]:
     """How often each word of the templates stands in all of docs; as many rows as the templates have words reach the driver."""
@@ -134,9 +172,11 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
 
     n_words counts words; places has each place where the words of a phrase stand one after the
     other; notices has every text block whose words contain the given share of a template's. Blocks
-    are lines; a line of more words than twice the longest template is cut into blocks of that
-    length that overlap by half, so that any run of words as long as a template lies in one block.
-    A null or empty text has no words.
+    are lines, whose words may stand in any order, and the text's words whatever lines they are in,
+    of which so many must stand in the template's order: a notice may be wrapped, but words that
+    several lines happen to have are none. A line or text of more words than twice the longest
+    template is cut into blocks of that length that overlap by half, so that any run of words as
+    long as a template lies in one block. A null or empty text has no words.
     """
     templates, phrases = TEMPLATES if templates is None else templates, PHRASES if phrases is None else phrases
     keep = ["doc_id"] if keep is None else keep
@@ -158,19 +198,23 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
             line = np.searchsorted(np.flatnonzero(bytes_ == 10), starts)
             at_line = line[hit]
             half = (hit - np.searchsorted(line, at_line)) // t.longest
-            # a block is two halves of a line in a row: each word is in the one that its half begins and in the one before
-            key = np.stack([np.tile(at_line, 2), np.concatenate([half, half - 1]), np.tile(hit, 2), np.tile(number, 2)])
-            key = key[:, key[1] >= 0]
-            key = key[:, np.lexsort((key[2], key[1], key[0]))]
-            cuts = np.flatnonzero(np.any(np.diff(key[:2], axis=1, prepend=-1) != 0, axis=0))
-            seen = set()
-            for lo, hi in zip(cuts, [*cuts[1:], key.shape[1]], strict=True):
-                for k, share in t.matches(np.unique(key[3, lo:hi]), 2 * t.longest):
-                    inside = key[2, lo:hi][np.isin(key[3, lo:hi], t.sets[k])]
-                    span = (k, int(inside[0]), int(inside[-1]))
-                    if span not in seen:
-                        seen.add(span)
-                        notices.append({"label": t.labels[k], "template": k, "first_word": span[1], "last_word": span[2], "share": share})
+            found: dict[tuple[int, int, int], float] = {}
+            for at, held in blocks(at_line, half, hit, number):
+                for k, share in t.matches(np.unique(held), 2 * t.longest):
+                    inside = at[np.isin(held, t.sets[k])]
+                    found.setdefault((k, int(inside[0]), int(inside[-1])), share)
+            if line[-1]:
+                wrapped: dict[tuple[int, int, int], float] = {}
+                for at, held in blocks(np.zeros_like(hit), hit // t.longest, hit, number):
+                    for k, _ in t.matches(np.unique(held), 2 * t.longest):
+                        n, first, last = t.in_order(k, held.tolist())
+                        if n >= t.need[k] and line[at[first]] != line[at[last]]:
+                            wrapped[k, int(at[first]), int(at[last])] = n / len(t.sets[k])
+                # blocks overlap: of notices in one place the one that holds most stays
+                for (k, first, last), share in sorted(wrapped.items(), key=lambda x: -x[1]):
+                    if not any(j == k and a <= last and first <= b and held >= share for (j, a, b), held in found.items()):
+                        found[k, first, last] = share
+            notices = [{"label": t.labels[k], "template": k, "first_word": a, "last_word": b, "share": share} for (k, a, b), share in found.items()]
         return len(starts), places, notices
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

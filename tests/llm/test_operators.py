@@ -291,6 +291,38 @@ def test_license_notices_equal_brute_force(spark):
         assert got[i] == want
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    """Templates wrapped over lines, in plain text and in comments, with one word in twelve lost."""
+    rng = random.Random(7)
+    templates = [(label, t) for label, ts in licenses.TEMPLATES.items() for t in ts]
+    sets = [set(licenses.words(t)) for _, t in templates]
+    prose = lambda n: " ".join(f"prose{rng.randrange(500)}" for _ in range(n))
+    rows, want = [], {}
+    for _, t in templates:
+        w = t.split()
+        for mark in ("", "# ", " * ", "// "):
+            for width in (2, 5, 12):
+                for before in (0, 7, 35, 90):
+                    kept = [x for x in w if rng.random() > 1 / 12] if width == 12 else w
+                    lines = [mark + " ".join(kept[i : i + width]) for i in range(0, len(kept), width)]
+                    # lines before and after, without the empty lines that would show a paragraph
+                    rows.append((len(rows), "\n".join([mark + prose(before), *lines, mark + prose(20)])))
+                    held = set(licenses.words(" ".join(kept)))
+                    want[len(rows) - 1] = {j for j, s in enumerate(sets) if len(s & held) >= licenses.CONTAINMENT * len(s) - 1e-9}
+    got = {r["doc_id"]: {n["template"] for n in r["notices"]} for r in licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert sum(map(bool, want.values())) > 400
+    assert got == want
+    # words of a template that stand on several lines in another order are no notice
+    words = licenses.words(templates[-1][1])[::-1]
+    text = "\n".join(" ".join(words[i : i + 4]) for i in range(0, len(words), 4))
+    grant = templates[4][1].split()
+    twice = "\n".join([" ".join(grant[:12]), " ".join(grant[12:]), prose(100), " ".join(grant[:9]), " ".join(grant[9:])])
+    rows = licenses.scan(spark.createDataFrame([(1, text), (2, twice)], "doc_id bigint, text string")).orderBy("doc_id").collect()
+    assert rows[0]["notices"] == []
+    n = len(licenses.words(templates[4][1]))
+    assert sorted((x["first_word"], x["last_word"], x["share"]) for x in rows[1]["notices"]) == [(0, n - 1, 1.0), (n + 100, 2 * n + 99, 1.0)]
+
+
 # --- suffixes
 
 
