@@ -75,6 +75,15 @@ FEW = "l_orderkey < 8"
 _FEW = "WHERE l_orderkey < 8"
 
 
+def agg_product_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product over all rows, of factors so near 1 that it stays finite."""
+    return table(spark, sf_dir, "lineitem").agg(F.round(agg.from_product("double")(1 + F.col("l_discount") / 1e6), 9).alias("value"))
+
+
+def agg_product_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(agg.from_product("double")(F.col("l_quantity")).alias("value"))
+
+
 def dec_mul_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decimal products kept to four places by rounding down, not to the nearest."""
     a, b = F.col("l_extendedprice").cast("decimal(15,2)"), (1 - F.col("l_discount").cast("decimal(15,2)"))
@@ -113,6 +122,8 @@ QUERIES = {
     **{f"agg_{k}": _reduced(f, None) for k, (f, _) in REDUCERS.items() if k != "reduce_max"},
     **{f"agg_{k}_by_supplier": _reduced(f, "l_suppkey") for k, (f, _) in REDUCERS.items()},
     "agg_product": _reduced(agg.from_product("double"), None, FEW),
+    "agg_product_all": agg_product_all,
+    "agg_product_by_order": agg_product_by_order,
     "dec_mul_floor": dec_mul_floor,
     "expr_min_sin_cos": expr_min_sin_cos,
     "replace_mul": replace_mul,
@@ -127,6 +138,8 @@ ORACLE = {
     **{f"agg_{k}": f"SELECT round({s}, 6) AS value FROM lineitem" for k, (_, s) in REDUCERS.items() if k != "reduce_max"},
     **{f"agg_{k}_by_supplier": f"SELECT l_suppkey, round({s}, 6) AS value FROM lineitem GROUP BY 1" for k, (_, s) in REDUCERS.items()},
     "agg_product": f"SELECT round(product(l_quantity), 6) AS value FROM lineitem {_FEW}",
+    "agg_product_all": "SELECT round(product(1 + l_discount / 1e6), 9) AS value FROM lineitem",
+    "agg_product_by_order": "SELECT l_orderkey, product(l_quantity) AS value FROM lineitem GROUP BY 1",
     "dec_mul_floor": "SELECT CAST(sum(CAST(floor(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2))) * 10000) / 10000 AS DECIMAL(18,4))) AS DOUBLE) AS total FROM lineitem",
     "expr_min_sin_cos": f"SELECT round(min(sin({_SX}) * cos({_SY}) + sqrt({_SX} * {_SY})), 9) AS value FROM lineitem",
     "replace_mul": "SELECT round(sum(l_quantity * 2), 4) AS total FROM lineitem",

@@ -173,9 +173,15 @@ def events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT c_custkey, nullif(c_acctbal, 0) IS NULL AS none, CASE WHEN c_acctbal < 0 THEN 'debt' ELSE upper(c_mktsegment) END AS kind FROM customer ORDER BY kind NULLS LAST, c_custkey LIMIT 50")
 def case_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return case_order_all(spark, sf_dir).limit(50)
+
+
+@query("SELECT c_custkey, nullif(c_acctbal, 0) IS NULL AS none, CASE WHEN c_acctbal < 0 THEN 'debt' ELSE upper(c_mktsegment) END AS kind FROM customer ORDER BY kind NULLS LAST, c_custkey")
+def case_order_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows, so that every branch and the nulls at the end are in the result."""
     kind = F.when(F.col("c_acctbal") < 0, "debt").otherwise(F.upper("c_mktsegment"))
     rows = table(spark, sf_dir, "customer").select("c_custkey", F.nullif("c_acctbal", F.lit(0.0)).isNull().alias("none"), kind.alias("kind"))
-    return rows.orderBy(F.asc_nulls_last("kind"), "c_custkey").limit(50)
+    return rows.orderBy(F.asc_nulls_last("kind"), "c_custkey")
 
 
 @query("SELECT CAST(4950 AS BIGINT) AS total, CAST(100 AS BIGINT) AS n")

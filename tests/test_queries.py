@@ -27,3 +27,19 @@ def test_query(spark, oracle, name):
     key = lambda r: tuple(str(plain(r[c])) for c in columns)
     got = [r.asDict() for r in df.collect()]
     assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def test_products_read_all_rows(spark):
+    lineitem = spark.read.parquet(f"{SF}/lineitem.parquet")
+    by_order = registry.queries()["agg_product_by_order"](spark, SF).collect()
+    assert len(by_order) == lineitem.select("l_orderkey").distinct().count()
+    want = math.fsum(math.log1p(r[0] / 1e6) for r in lineitem.select("l_discount").collect())
+    assert math.isclose(registry.queries()["agg_product_all"](spark, SF).first()["value"], math.exp(want), abs_tol=2e-9)
+
+
+def test_case_order_returns_all_rows_in_order(spark, tmp_path):
+    rows = [(1, 5.0, "b"), (2, -1.0, "a"), (3, 0.0, None), (4, None, None), (5, 2.0, "a"), (6, -3.0, None)] + [(i, 1.0, "a") for i in range(10, 80)]
+    spark.createDataFrame(rows, "c_custkey bigint, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    got = [tuple(r) for r in registry.queries()["case_order_all"](spark, str(tmp_path)).collect()]
+    a = [(5, False, "A"), *((i, False, "A") for i in range(10, 80))]
+    assert got == [*a, (1, False, "B"), (2, False, "debt"), (6, False, "debt"), (3, True, None), (4, True, None)]
