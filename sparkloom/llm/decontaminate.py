@@ -9,13 +9,14 @@ the presence of its rarest words, its answer, so that paraphrases with changed w
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import word_hashes, word_spans
+from .shared import saved, word_hashes, word_spans
 
 IS_WORD = np.zeros(256, bool)
 IS_WORD[0x30:0x3A] = IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
@@ -27,7 +28,9 @@ BLOCK = 16
 COMMON = 1 / 300
 #: Least cosine of a candidate, share of the shorter side's telling words that both must have, of an item's words in the common subsequence, and of its rarest words.
 COSINE, SHARED, SUBSEQUENCE, ANSWER, ANSWER_WORDS = 0.45, 0.5, 0.65, 0.6, 5
-#: Items are held in every task, so there must not be more.
+#: An item with a smaller share of telling words is found by the words themselves.
+LEAST_TELLING = 0.25
+#: Items are held in every task, so no more at a time.
 MOST_ITEMS = 20_000
 
 
@@ -69,8 +72,8 @@ def block_sums(table: np.ndarray, f: np.ndarray, begin: np.ndarray) -> np.ndarra
     return total
 
 
-def inverse_frequency(docs: DataFrame) -> np.ndarray:
-    """The weight of each feature from its count in all documents; common features weigh nothing."""
+def inverse_frequency(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The weight of each feature from its count in all documents, where common features weigh nothing; and how rare each is, common ones too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(FEATURES, np.int64)
@@ -84,7 +87,8 @@ def inverse_frequency(docs: DataFrame) -> np.ndarray:
     for r in rows:
         count[r["feature"]] = r["n"]
     total = max(count.sum(), 1.0)
-    return np.where(count > COMMON * total, 0.0, np.log(total / (count + 1.0)).clip(0)).astype(np.float32)
+    rarity = np.log(total / (count + 1.0)).clip(0).astype(np.float32)
+    return np.where(count > COMMON * total, np.float32(0), rarity), rarity
 
 
 def latent_space(docs: DataFrame, weight: np.ndarray, seed: int = 5) -> np.ndarray:
@@ -132,9 +136,12 @@ def common_subsequence(item: dict[int, int], words: list[int]) -> int:
 
 
 class Items:
-    """Benchmark items with their vectors; an item longer than a passage has several."""
+    """Benchmark items with their vectors; an item longer than a passage has several.
 
-    def __init__(self, items: list[tuple[int, str]], weight: np.ndarray, space: np.ndarray):
+    An item of few telling words has no vector that finds it; its rarest words are looked up.
+    """
+
+    def __init__(self, items: list[tuple[int, str]], weight: np.ndarray, space: np.ndarray, rarity: np.ndarray):
         kept = [(i, t) for i, t in items if t and t.strip()]
         self.ids = [i for i, _ in kept]
         self.words: list[np.ndarray] = []
@@ -148,7 +155,7 @@ class Items:
                 mask[x] = mask.get(x, 0) | 1 << place
             self.masks.append(mask)
             f = features(w)
-            order = np.argsort(-weight[f], kind="stable")
+            order = np.argsort(-rarity[f], kind="stable")
             self.rare.append(set(w[order].tolist()[:ANSWER_WORDS]))
             self.telling[n, f[weight[f] > 0]] = True
             for a in range(0, max(1, len(w) - BLOCK), BLOCK // 2) if len(w) > 2 * BLOCK else [0]:
@@ -158,6 +165,33 @@ class Items:
         v = np.array(vectors, np.float32).reshape(-1, RANK)
         self.vectors = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
         self.of = np.array(self.of, np.int64)
+        few = [n for n, w in enumerate(self.words) if np.count_nonzero(weight[features(w)]) < LEAST_TELLING * len(w)]
+        pairs = sorted((x, n) for n in few for x in self.rare[n])
+        #: The rarest words of items of few telling words, in order, and the item of each.
+        self.rare_words = np.array([x for x, _ in pairs], np.uint64)
+        self.rare_of = np.array([n for _, n in pairs], np.int64)
+
+
+def by_words(words: np.ndarray, cuts: np.ndarray, text: np.ndarray, begin: np.ndarray, ends: np.ndarray, items: Items) -> list[tuple[int, int]]:
+    """(passage, item) for items of few telling words: texts that hold enough of an item's rarest words, and there the passages of which enough words are the item's."""
+    lo, hi = (np.searchsorted(items.rare_words, words, side) for side in ("left", "right"))
+    hit = np.flatnonzero(hi > lo)
+    n = (hi - lo)[hit]
+    pair = np.repeat(lo[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    in_text = np.repeat(np.searchsorted(cuts, hit, side="right") - 1, n)
+    # every row of rare_words is a word of one item, so distinct rows are distinct words
+    key = np.unique(in_text * max(1, len(items.rare_words)) + pair)
+    found, count = np.unique(np.stack([key // max(1, len(items.rare_words)), items.rare_of[key % max(1, len(items.rare_words))]]), axis=1, return_counts=True)
+    out = []
+    for t, k, c in zip(*found.tolist(), count.tolist(), strict=True):
+        if c < ANSWER * len(items.rare[k]):
+            continue
+        a, b = np.searchsorted(text, [t, t + 1])
+        own = np.concatenate([[0], np.cumsum(np.isin(words[cuts[t] : cuts[t + 1]], items.words[k]))])
+        held = own[ends[a:b] - cuts[t]] - own[begin[a:b] - cuts[t]]
+        enough = held >= SHARED * np.minimum(ends[a:b] - begin[a:b], len(items.words[k]))
+        out += [(w, k) for w in (a + np.flatnonzero(enough)).tolist()]
+    return out
 
 
 FOUND = "place bigint, item_id bigint, share double, first_word bigint"
@@ -178,8 +212,6 @@ def find(words: np.ndarray, cuts: np.ndarray, weight: np.ndarray, space: np.ndar
     norm = np.maximum(np.linalg.norm(pair, axis=1, keepdims=True), 1e-9)
     close = (pair / norm) @ items.vectors.T
     window, vector = np.nonzero(close >= COSINE)
-    if not len(window):
-        return []
     cand = np.unique(window * len(items.words) + items.of[vector])
     window, item = cand // len(items.words), cand % len(items.words)
     # telling words that passage and item share, for all candidates at once
@@ -191,8 +223,11 @@ def find(words: np.ndarray, cuts: np.ndarray, weight: np.ndarray, space: np.ndar
     telling = np.append(weight > 0, False)[told]
     shared = (items.telling[item[:, None], told] & telling).sum(axis=1)
     enough = shared >= SHARED * np.minimum(telling.sum(axis=1), items.n_telling[item])
+    pairs = list(zip(window[enough].tolist(), item[enough].tolist(), strict=True))
+    if len(items.rare_words):
+        pairs = sorted({*pairs, *by_words(words, cuts, text, begin, ends[last], items)})
     out: dict[tuple[int, int], tuple[float, int]] = {}
-    for w, n in zip(window[enough].tolist(), item[enough].tolist(), strict=True):
+    for w, n in pairs:
         a, b = begin[w], ends[last[w]]
         # the item may begin before the passage and end after it
         size = len(items.words[n])
@@ -217,17 +252,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") -> DataF
     """docs with the benchmark items found in each whole text: an array of (item_id, share, first_word), empty where none is.
 
     Null and empty texts and items leak nothing; repeated rows each have their leaks. Items
-    (item_id, text) are held in every task: more than MOST_ITEMS raise an error.
+    (item_id, text) are held in every task, so more than MOST_ITEMS take several passes over docs.
     """
-    rows = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).limit(MOST_ITEMS + 1).collect()
-    if len(rows) > MOST_ITEMS:
-        raise ValueError(f"more than {MOST_ITEMS} benchmark items; pass them in parts")
-    weight = inverse_frequency(docs)
+    rows = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).toLocalIterator()
+    weight, rarity = inverse_frequency(docs)
     space = latent_space(docs, weight)
-    items = Items([(r["item_id"], r["text"]) for r in rows], weight, space)
+    found, part = None, [(r["item_id"], r["text"]) for r in islice(rows, MOST_ITEMS)]
+    while found is None or part:
+        source = docs if found is None else saved(found, "leaks")
+        found = _leaks(source, Items(part, weight, space, rarity), weight, space, column, found is not None)
+        part = [(r["item_id"], r["text"]) for r in islice(rows, MOST_ITEMS)]
+    return found
+
+
+def _leaks(docs: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray, column: str, again: bool) -> DataFrame:
+    """docs with the leaks of some items; again: after those that the column has already."""
     names = [c for c in docs.columns if c.lower() != column.lower()]
-    source = docs.select(*[docs[c] for c in names])
-    place = source.columns.index("text")
+    nothing = F.lit(None).cast("array<struct<item_id:bigint,share:double,first_word:bigint>>")
+    source = docs.select(*[docs[c] for c in names], *([docs[column]] if again else []))
+    place = names.index("text")
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64()), ("first_word", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,9 +281,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, column: str = "leaks") -> DataF
                 made += [[] for _ in range(len(cuts) - 1)]
                 for t, item, share, at in find(words, cuts, weight, space, items):
                     made[base + t].append({"item_id": item, "share": share, "first_word": at})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, kind)], names=[*names, column])
+            if again:
+                made = [a + b for a, b in zip(batch.column(len(names)).to_pylist(), made, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(made, kind)], names=[*names, column])
 
-    nothing = F.lit(None).cast("array<struct<item_id:bigint,share:double,first_word:bigint>>")
     return source.mapInArrow(run, source.withColumn(column, nothing).schema)
 
 

@@ -178,6 +178,30 @@ def test_decontamination(spark, docs, none, edge):
     assert decontaminate.reported(edge, bench.where("false")).agg(F.sum("n_items")).first()[0] == 0
 
 
+def test_decontaminate_passages_that_many_rows_hold(spark):
+    """A passage in a third of short rows, and a corpus that is mostly copies of one: their words are common, and they are found."""
+    rng = random.Random(11)
+    prose = lambda n: " ".join(f"w{rng.randrange(3000)}" for _ in range(n))
+    passage = " ".join(f"item{i}" for i in range(38))
+    bench = spark.createDataFrame([(1, passage), (2, prose(38)), (3, " "), (4, None)], "item_id bigint, text string")
+    rows = [(i, f"{prose(20)} {passage} {prose(20)}" if i % 3 == 0 else prose(78)) for i in range(300)]
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.reported(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert got == {i: "1" if i % 3 == 0 else "" for i, _ in rows}
+    rows = [(i, passage if i % 10 else prose(60)) for i in range(200)] + [(200, ""), (201, None), (202, " ".join(passage.split()[::-1]))]
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.reported(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert got == {i: "1" if i < 200 and i % 10 else "" for i, _ in rows}
+
+
+def test_decontaminate_items_in_blocks(spark, docs, monkeypatch):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    flat = lambda df: sorted((r["doc_id"], sorted(map(tuple, r["leaks"]))) for r in df.collect())
+    want = flat(decontaminate.leaks(docs, bench))
+    assert any(x for _, x in want)
+    monkeypatch.setattr(decontaminate, "MOST_ITEMS", -(-bench.count() // 3))
+    found = decontaminate.leaks(docs, bench)
+    assert flat(found) == want and found.columns == [*docs.columns, "leaks"]
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(200):
