@@ -43,3 +43,11 @@ def test_case_order_returns_all_rows_in_order(spark, tmp_path):
     got = [tuple(r) for r in registry.queries()["case_order_all"](spark, str(tmp_path)).collect()]
     a = [(5, False, "A"), *((i, False, "A") for i in range(10, 80))]
     assert got == [*a, (1, False, "B"), (2, False, "debt"), (6, False, "debt"), (3, True, None), (4, True, None)]
+
+
+def test_reduce_by_supplier_collects_no_group(spark, tmp_path):
+    rows = [(1, float(i)) for i in range(5000)] + [(2, None), (3, 7.5), (3, None), (3, -1.0)]
+    spark.createDataFrame(rows, "l_suppkey bigint, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = registry.queries()["agg_reduce_max_by_supplier"](spark, str(tmp_path))
+    assert "collect_list" not in df._jdf.queryExecution().toString()
+    assert sorted(map(tuple, df.collect())) == [(1, 4999.0), (2, None), (3, 7.5)]
