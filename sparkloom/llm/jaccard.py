@@ -4,11 +4,12 @@ Equal shingle sets become one node. Nodes that may be similar are brought togeth
 shingles of each set are put in order of how often their counter has been met in all sets, rarest
 first, and two sets of enough likeness share one of their first few. The counters are a fixed
 number of sums over all documents; they only order shingles, so shared ones lose no link. Nodes
-that share a rare shingle and whose bitmaps allow enough overlap form groups, and each group
-stands under a signature tree: a tree node has the OR of its members' token bitmaps and their
-range of sizes, and a dual traversal drops pairs of tree nodes whose largest possible overlap is
-too small. Pairs left are compared. Pairs that share a rare shingle but lie in different
-components after that pass the same test of bitmaps and sizes and are compared too.
+that share a rare shingle and whose bitmaps allow enough overlap form groups. Groups stand in
+signature trees: a tree node has the OR of its members' token bitmaps and their range of sizes,
+and a dual traversal drops pairs of tree nodes whose largest possible overlap is too small; pairs
+left are compared. A group larger than a task takes is cut into blocks, and whatever the blocks
+leave apart is traversed block against block, so that pairs exist only within tasks. Lists of a
+rare shingle whose nodes lie in several groups are such groups too.
 """
 
 from __future__ import annotations
@@ -17,18 +18,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, freed, mix, saved, word_hashes, word_spans
+from .shared import components, dropped, mix, saved, word_hashes, word_spans
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 #: Counters of shingles; their ranks, a byte each, are all that is broadcast.
 COUNTERS = 1 << 20
-#: Nodes and shingles that one task compares with each other; larger groups are split.
-GROUP_NODES, GROUP_SHINGLES = 512, 400_000
-FANOUT = 8
+#: Nodes and shingles of a block, of which one task holds two at a time; larger groups are cut.
+GROUP_NODES, GROUP_SHINGLES = 4000, 1_000_000
+#: Children of a tree node.
+FANOUT = 16
+#: Bits of the filter of documents whose sets are needed.
+FILTER_BITS = 1 << 27
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BATCH = 1 << 19
 
@@ -69,6 +73,15 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(mix(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
 
 
+def ranked(counts: np.ndarray) -> np.ndarray:
+    """A byte for each counter that grows with its count: 192 quantiles, and finer steps above the 99th hundredth."""
+    met = counts[counts > 0]
+    if not len(met):
+        return np.zeros(len(counts), np.uint8)
+    edges = np.concatenate([np.quantile(met, np.linspace(0, 1, 192)), np.geomspace(np.quantile(met, 0.99), met.max(), 60)])
+    return np.searchsorted(np.unique(edges), counts, side="left").astype(np.uint8)
+
+
 def rare(s: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
     """The rarest of a set's shingles, so many that it shares one of them with every set of enough likeness.
 
@@ -79,40 +92,44 @@ def rare(s: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
     return s[np.argsort(order, kind="stable")[: len(s) - -(-percent * len(s) // 100) + 1]]
 
 
+def width_of(most: int) -> int:
+    """Words of 64 bits in the bitmaps of sets of no more than so many tokens."""
+    return (1 << max(9, min(16, (16 * most - 1).bit_length()))) // 64
+
+
 class Tree:
-    """A signature tree over sets, in order of size."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.size = np.array([len(s) for s in sets])
-        bits = 1 << max(9, min(16, int(4 * self.size.max()).bit_length()))
-        self.bits = np.zeros((len(sets), bits // 64), np.uint64)
-        for i, s in enumerate(sets):
-            at = s & np.uint64(bits - 1)
-            np.bitwise_or.at(self.bits[i], (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        #: Tokens beyond the bits that they fill.
-        self.excess = self.size - np.bitwise_count(self.bits).sum(axis=1)
-        self.levels = []
-        order = np.argsort(self.size, kind="stable")
-        nodes = [([int(i)], self.bits[i], int(self.size[i]), int(self.size[i]), int(self.excess[i])) for i in order]
-        while len(nodes) > 1:
-            nodes = [self._above(nodes[i : i + FANOUT]) for i in range(0, len(nodes), FANOUT)]
-        self.root = nodes[0]
-
-    @staticmethod
-    def _above(children: list[tuple]) -> tuple:
-        return (children, np.bitwise_or.reduce([c[1] for c in children]), min(c[2] for c in children), max(c[3] for c in children), max(c[4] for c in children))
-
-
-def may_link(a: tuple, b: tuple, percent: int) -> bool:
-    """Whether some member of one tree node may reach some member of the other."""
-    if 100 * a[3] < percent * b[2] or 100 * b[3] < percent * a[2]:
-        return False
-    need = -(-percent * (a[2] + b[2]) // (100 + percent))
-    if min(a[3], b[3]) < need:
-        return False
+    """A signature tree over sets: FANOUT neighbours by smallest token, and so likely alike, under each node.
+
+    levels[0] has the sets, and each further level the nodes above: bits (OR of the bitmaps), lo and
+    hi (sizes), excess (the most tokens that a set has beyond the bits that it fills).
+    """
+
+    def __init__(self, sets: list[np.ndarray], words: int):
+        order = sorted(range(len(sets)), key=lambda i: (sets[i][0], len(sets[i])))
+        self.members, self.sets = np.array(order), [sets[i] for i in order]
+        size = np.array([len(s) for s in self.sets])
+        bits = np.zeros((len(sets), words), np.uint64)
+        for row, s in zip(bits, self.sets, strict=True):
+            at = s & np.uint64(64 * words - 1)
+            np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        self.levels = [(bits, size, size, size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64))]
+        while len(self.levels[-1][0]) > 1 or len(self.levels) == 1:
+            self.add_level()
+
+    def add_level(self) -> None:
+        bits, lo, hi, excess = self.levels[-1]
+        at = np.arange(0, len(bits), FANOUT)
+        self.levels.append((np.bitwise_or.reduceat(bits, at), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(excess, at)))
+
+
+def may_link(a: tuple, b: tuple, percent: int) -> np.ndarray:
+    """For each tree node of a and each of b, whether some member of the one may reach some member of the other."""
+    lo_a, hi_a, excess_a = (v[:, None] for v in a[1:])
+    lo_b, hi_b, excess_b = b[1:]
+    need = -(-percent * (lo_a + lo_b) // (100 + percent))
     # common tokens lie in common bits, one in each but for those that share a bit with another
-    return int(np.bitwise_count(a[1] & b[1]).sum()) + min(a[4], b[4]) >= need
+    common = np.bitwise_count(a[0][:, None] & b[0][None]).sum(axis=2, dtype=np.int64) + np.minimum(excess_a, excess_b)
+    return (100 * hi_a >= percent * lo_b) & (100 * hi_b >= percent * lo_a) & (np.minimum(hi_a, hi_b) >= need) & (common >= need)
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -124,49 +141,54 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def tree_links(tree: Tree, percent: int) -> Iterator[tuple[int, int]]:
-    """Links of a tree's sets that connect what all links do; pairs connected already are not compared."""
-    parent = list(range(len(tree.sets)))
+def tree_links(a: Tree, b: Tree, labels_a: np.ndarray, labels_b: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Links (i, j) between the sets of two trees, or of one (a is b), that connect what all links do.
 
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    stack = [(tree.root, tree.root)]
+    labels name the component of each set, in the order in which the sets were given. Sets of equal
+    labels are connected already and not compared; links found change the labels.
+    """
+    while len(a.levels) < len(b.levels):
+        a.add_level()
+    while len(b.levels) < len(a.levels):
+        b.add_level()
+    own_a, own_b = labels_a[a.members], labels_b[b.members]
+    stack = [(len(a.levels) - 1, 0, 0)]
     while stack:
-        a, b = stack.pop()
-        if a is b:
-            if not isinstance(a[0][0], int):
-                stack += [(a[0][i], a[0][j]) for i in range(len(a[0])) for j in range(i, len(a[0]))]
-            continue
-        leaf_a, leaf_b = isinstance(a[0][0], int), isinstance(b[0][0], int)
-        if leaf_a and leaf_b and find(a[0][0]) == find(b[0][0]):
-            continue
-        if not may_link(a, b, percent):
-            continue
-        if leaf_a and leaf_b:
-            i, j = a[0][0], b[0][0]
-            if linked(tree.sets[i], tree.sets[j], percent):
-                parent[find(i)] = find(j)
-                yield i, j
-        elif leaf_b or (not leaf_a and a[3] >= b[3]):
-            stack += [(c, b) for c in a[0]]
-        else:
-            stack += [(a, c) for c in b[0]]
-
-
-def _mapped(docs: DataFrame, schema: str, width: int, one, last=None) -> DataFrame:
-    """one: from a task's state, ids and sets of a batch to columns; last: from the state to those at the task's end."""
+        level, i, j = stack.pop()
+        below = level - 1
+        x, y = (slice(k * FANOUT, (k + 1) * FANOUT) for k in (i, j))
+        if below == 0:
+            apart = own_a[x, None] != own_b[None, y]
+            if not apart.any():
+                continue
+        may = may_link(tuple(v[x] for v in a.levels[below]), tuple(v[y] for v in b.levels[below]), percent)
+        if below == 0:
+            may &= apart
+        if a is b and i == j:
+            may = np.triu(may, 1 if below == 0 else 0)
+        # neighbours last, so that they come off the stack first
+        for p, q in sorted(np.argwhere(may).tolist(), key=lambda v: -abs(v[0] - v[1]) if below else abs(v[0] - v[1])):
+            p, q = p + i * FANOUT, q + j * FANOUT
+            if below:
+                stack.append((below, p, q))
+            elif own_a[p] != own_b[q] and linked(a.sets[p], b.sets[q], percent):
+                yield int(a.members[p]), int(b.members[q])
+                old, new = own_b[q], own_a[p]
+                own_b[own_b == old] = new
+                own_a[own_a == old] = new
+
+
+def _mapped(docs: DataFrame, schema: str, width: int, one, last=None, wanted=None) -> DataFrame:
+    """one: from a task's state, ids and sets of a batch to columns; last: from the state to those at the task's end; wanted: which ids."""
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {}
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for i in range(0, len(texts), 500):
-                yield pa.RecordBatch.from_arrays(one(state, ids[i : i + 500], shingles(texts[i : i + 500], width)), names=names)
+            batch = batch.filter(wanted(batch.column(0))) if wanted else batch
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                yield pa.RecordBatch.from_arrays(one(state, part.column(0), shingles(part.column(1).to_pylist(), width)), names=names)
         if last and state:
             yield pa.RecordBatch.from_arrays(last(state), names=names)
 
@@ -211,30 +233,30 @@ def nodes_of(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
 
     rows = saved(_mapped(docs, "doc_id bigint, n bigint, node bigint, bits binary, counter boolean", width, one, last), "sets")
     sums = rows.where("counter").groupBy("node").agg(F.sum("n").alias("n"))
-    found = sums.select(F.col("node").cast("int"), F.floor(2 * F.log2("n")).cast("tinyint").alias("rank")).toArrow()
-    ranks = np.zeros(COUNTERS, np.uint8)
-    ranks[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    return rows.where("NOT counter").drop("counter"), ranks
+    found = sums.select(F.col("node").cast("int"), "n").toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return rows.where("NOT counter").drop("counter"), ranked(counts)
 
 
 def shared_parts(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -> DataFrame:
-    """(key, node, n, least) of the rare shingles that several nodes have; least is the smallest of these, n a node's size."""
+    """(key, node, least) of the rare shingles that several nodes have; least is the smallest of these."""
     all_ranks = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def one(state, ids, sets):
-        keys, nodes, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for s in sets:
             if len(s) and (h := set_id(s)) not in state:  # copies of a set in one task give its keys once
                 state[h] = None
                 keys.append(rare(s, all_ranks.value, percent))
                 nodes.append(np.full(len(keys[-1]), h))
-                sizes.append(np.full(len(keys[-1]), len(s), np.int32))
-        return [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))]
+        return [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
 
-    rows = _mapped(docs, "key bigint, node bigint, n int", width, one)
-    of_key = Window.partitionBy("key")
-    rows = rows.select("key", "node", "n", F.min("node").over(of_key).alias("least"), F.max("node").over(of_key).alias("most"))
-    return saved(rows.where("least != most").drop("most"), "parts")
+    rows = saved(_mapped(docs, "key bigint, node bigint", width, one), "keys")
+    several = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").drop("most")
+    parts = saved(rows.join(several, "key").select("key", "node", "least"), "parts")
+    dropped(rows)
+    return parts
 
 
 def _allowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -247,105 +269,156 @@ def _allowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    return saved(rows.mapInArrow(run, "a bigint, b bigint"), "pairs")
+    return rows.mapInArrow(run, "a bigint, b bigint")
 
 
-def _joined(members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links within each group g of (g, doc_id, node, text)."""
+def _tokens(docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
+    """(node, tokens) of the nodes of sets (node, doc_id), tokens being the sorted hashes in a row.
 
-    def run(table: pa.Table) -> pa.Table:
-        found: dict[int, tuple[int, np.ndarray]] = {}
-        for doc_id, node, s in zip(table.column("doc_id").to_pylist(), table.column("node").to_pylist(), shingles(table.column("text").to_pylist(), width), strict=True):
-            if len(s) and set_id(s) == node:
-                found.setdefault(node, (doc_id, s))
-        ids, sets = [d for d, _ in found.values()], [s for _, s in found.values()]
-        links = [(ids[i], ids[j]) for i, j in tree_links(Tree(sets), percent)] if len(ids) > 1 else []
-        return pa.table([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["a", "b"])
+    The documents are found by a filter of FILTER_BITS bits, which has a fixed size and may let more
+    pass; the join on the node is exact.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = sets.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("v")).toArrow()
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    of_docs = docs.sparkSession.sparkContext.broadcast(bits)
+    rows = docs.withColumn("text", F.col("text").cast("string")).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL").select("doc_id", "text", place.alias("p"))
 
-    return members.select("g", "doc_id", "node", "text").groupBy("g").applyInArrow(run, "a bigint, b bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((of_docs.value[p >> 6] >> (p & 63)) & 1 == 1))
+            for i in range(0, batch.num_rows, 500):
+                sets = [s for s in shingles(batch.column(1).slice(i, 500).to_pylist(), width) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"])
 
+    found = rows.mapInArrow(run, "node bigint, tokens binary").join(sets.select("node"), "node", "left_semi")
+    return saved(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "tokens")
 
-def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Per row of docs: doc_id, n_shingles and component_id, the smallest doc_id that links lead to.
 
-    Two documents link when their sets of width-word shingles (of fewer words, the whole sequence
-    as one; A-Z lower-cased, words between white space) have a Jaccard likeness of percent / 100 or
-    more. A text that is null or has no words has an empty set and is linked with nothing. Repeated
-    rows stay; a row without doc_id takes the component of the others, or null.
+def _compared(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of nodes within the blocks of rows (g, i, j, side, node, label).
 
-    Groups that exceed what one task compares are split: each chunk is joined with itself, then one
-    member of each of its components with those of the others. Whatever of a group stays apart is
-    compared, like all nodes of different components, wherever two of them share a rare shingle.
+    A block (g, i, j) that has rows of both sides is traversed one side against the other, another
+    one with itself; sorted blocks pass through a task one after the other.
+    """
+
+    def traversed(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        words = width_of(max(map(len, sets)))
+        labels = np.array([r[2] for r in rows])
+        cut = next((k for k, r in enumerate(rows) if r[0]), 0)
+        if not cut:
+            tree = Tree(sets, words)
+            found = tree_links(tree, tree, labels, labels, percent)
+        else:
+            found = tree_links(Tree(sets[:cut], words), Tree(sets[cut:], words), labels[:cut], labels[cut:], percent)
+        for x, y in found:
+            yield rows[x][1], rows[cut + y][1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        links: list[tuple[int, int]] = []
+        block, held = None, []
+        for batch in batches:
+            for *at, side, node, label, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if at != block:
+                    if len(held) > 1:
+                        links += traversed(held)
+                    block, held = at, []
+                held.append((side, node, label, data))
+            yield as_rows(links)
+            links = []
+        if len(held) > 1:
+            links += traversed(held)
+        yield as_rows(links)
+
+    def as_rows(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    rows = rows.join(tokens, "node").select("g", "i", "j", "side", "node", "label", "tokens")
+    return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(run, "a bigint, b bigint")
+
+
+def links_within(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of nodes within each group of members (g, node, n, label) that connect what all do; equal labels are connected already.
+
+    Groups that exceed a block are cut. Each block is joined with itself, then one member of each of
+    its components with those of the others. Members outside of a group's largest component are
+    joined, block by block, with all blocks of the group after that: of two members that still have
+    different components one at least is such a member.
     """
-    nodes, ranks = nodes_of(docs, width)
-    sets = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("bits").alias("bits")).where("doc_id IS NOT NULL")
-    parts = shared_parts(docs, ranks, width, percent)
-    sets = saved(sets.join(parts.select("node").distinct(), "node", "left_semi"), "members")
-    near = _allowed(parts.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent)
-    members = components(near).withColumnRenamed("component", "root").join(sets.drop("bits"), "node")
     placed = saved(_placed(members), "placed")
-    texts = _texts(docs, placed)
-    freed(docs.sparkSession)
-
-    def join(rows: DataFrame) -> DataFrame:
-        rows = rows.select(F.struct("root", "chunk").alias("g"), "doc_id", "node")
-        return saved(_joined(rows.join(texts, "doc_id"), width, percent), "links")
-
-    links = join(placed)
-    large = placed.where("chunks > 1").drop("chunk", "chunks")
-    if not large.isEmpty():
-        one = _with_component(large, links).groupBy("root", "component").agg(F.min(F.struct("doc_id", "node", "n")).alias("r")).select("root", "r.*")
-        links = links.union(join(_placed(one)))
-    now = saved(_with_component(sets.select("node", "doc_id"), links).select("node", "component"), "now")
-    apart = parts.select("key", "node", "n").join(now, "node")
-    mixed = apart.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("key")
-    apart = saved(apart.join(mixed, "key"), "apart")
-    other = apart.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    pairs = apart.withColumnRenamed("node", "a").join(other, "key").where("component < other").where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).select("a", "b").distinct()
-    left = _allowed(pairs, sets, percent)
-    if not left.isEmpty():
-        links = links.union(_compared(left, sets, docs, width, percent))
-    found = components(links)
-    named = sets.join(found, sets.doc_id == found.node, "inner").select(sets.node, F.col("component").alias("component_id"))
-    first = nodes.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"))
-    named = first.join(named, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
-    return nodes.join(named, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-
-
-def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(doc_id, text) of the rows of docs that members (doc_id) name."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return saved(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "texts")
+    own = lambda rows: rows.select("g", F.col("chunk").alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"), "node", "label")
+    links = saved(_compared(own(placed), tokens, percent), "links")
+    large = placed.where("chunks > 1")
+    if large.isEmpty():
+        return links
+    one = _relabelled(large, links).groupBy("g", "label").agg(F.min(F.struct("node", "n")).alias("r")).select("g", "label", "r.*")
+    links = saved(links.union(_compared(own(_placed(one)), tokens, percent)), "links")
+    now = saved(_relabelled(large, links), "now")
+    most = now.groupBy("g", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max_by("label", F.struct("c", "label")).alias("most"))
+    outside = now.join(most, "g").where("label != most").drop("most")
+    outside = saved(_placed(outside.withColumn("home", F.col("chunk")).drop("chunk", "chunks")).join(now.select("g", F.col("chunks").alias("all")).distinct(), "g"), "outside")
+    times = outside.groupBy("g").agg(F.max("chunks").alias("times"))
+    stay = now.join(times, "g").select("g", F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("j"), F.lit(0).alias("side"), "node", "label")
+    visit = outside.select("g", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "label", "home")
+    return links.union(saved(_compared(stay.union(visit.where("i != home").drop("home")), tokens, percent), "links"))
 
 
 def _placed(members: DataFrame) -> DataFrame:
-    """members (root, node, doc_id, n) with the chunk of their group that they belong to."""
+    """members (g, node, n) with the chunk of their group that they belong to."""
+    members = members.drop("chunk", "chunks")
     chunks = F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_NODES, F.sum("n") / GROUP_SHINGLES)).cast("int").alias("chunks")
-    return members.join(members.groupBy("root").agg(chunks), "root").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    return members.join(members.groupBy("g").agg(chunks), "g").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
 
 
-def _with_component(rows: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links).withColumnRenamed("node", "d")
-    return rows.join(found, rows.doc_id == found.d, "left").select(*[rows[c] for c in rows.columns], F.coalesce("component", "doc_id").alias("component"))
+def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows (node, label) with the labels after links."""
+    names = rows.select("node", F.col("label").alias("b")).where("node != b").select(F.col("node").alias("a"), "b")
+    found = components(names.union(links)).withColumnRenamed("component", "new")
+    return rows.join(found, "node", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (of doc_ids) among pairs (a, b) of nodes."""
+def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """Per row of docs: doc_id, n_shingles and component_id, the smallest doc_id that links lead to.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = (list(shingles(batch.column(c).to_pylist(), width)) for c in ("text_a", "text_b"))
-            same = [linked(x, y, percent) for x, y in zip(one, two, strict=True)]
-            yield batch.select(["doc_a", "doc_b"]).filter(pa.array(same, pa.bool_())).rename_columns(["a", "b"])
+    Two documents link when their sets of width-word shingles (of fewer words, the whole sequence
+    as one; A-Z lower-cased, words between white space) have a Jaccard likeness of percent / 100 or
+    more. A text that is null or has no words has an empty set and is linked with nothing. Repeated
+    rows stay; a row without doc_id takes the component of the others, or null. Jobs run when this
+    is called; only the last join is left to the result.
 
-    # of rows that repeat an id, the one whose text has the node's set can't be told here: all are tried
-    named = sets.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "doc_id")
-    named = named.join(_texts(docs, named), "doc_id")
-    one, two = (named.select(F.col("node").alias(x), F.col("doc_id").alias(f"doc_{x}"), F.col("text").alias(f"text_{x}")) for x in "ab")
-    return saved(pairs.join(one, "a").join(two, "b").select("doc_a", "doc_b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint"), "links")
+    Of a group of N different near copies, S of them outside of its largest component after the
+    first rounds, N + N * ceil(S / GROUP_NODES) + S * ceil(N / GROUP_NODES) rows pass through tasks.
+    """
+    nodes, ranks = nodes_of(docs, width)
+    filled = nodes.where("node IS NOT NULL")
+    parts = shared_parts(docs, ranks, width, percent)
+    sets = filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("bits").alias("bits")).where("doc_id IS NOT NULL")
+    sets = saved(sets.join(parts.select("node").distinct(), "node", "left_semi"), "members")
+    tokens = _tokens(docs, sets, width)
+    near = saved(_allowed(parts.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent), "near")
+    roots = saved(components(near).select("node", F.col("component").alias("root")), "roots")
+    sizes = sets.select("node", "n")
+    links = links_within(roots.withColumnRenamed("root", "g").join(sizes, "node").withColumn("label", F.col("node")), tokens, percent)
+    # lists that reach over several groups, each different one once
+    rooted = parts.select("key", "node").join(sizes.join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")), "node")
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("lo != hi")
+    lists = saved(rooted.join(mixed.groupBy("c", "h", "lo", "hi").agg(F.min("key").alias("key")).select("key"), "key").select(F.col("key").alias("g"), "node", "n", F.col("node").alias("label")), "lists")
+    if not lists.isEmpty():
+        links = links.union(links_within(_relabelled(lists, links), tokens, percent))
+    found = saved(components(links), "components")
+    first = filled.groupBy("node").agg(F.min("doc_id").alias("first"))
+    named = first.join(found, "node").select("node", "component", "first")
+    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = saved(named.join(least, "component").select("node", "component_id"), "named")
+    dropped(parts, sets, tokens, near, roots, links, lists, found)
+    alone = first.join(named, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
+    return nodes.join(alone, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs without near copies: of each component the row of its smallest doc_id stays. Rows without doc_id and with empty texts stay."""
-    found = connected(docs, width, percent).where("doc_id != component_id").select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(found, docs.doc_id == F.col("__copy"), "left_anti")
+    copies = connected(docs, width, percent).where("doc_id != component_id").select(F.col("doc_id").alias("copy_id")).distinct()
+    return docs.join(copies, docs["doc_id"] == copies["copy_id"], "left_anti")

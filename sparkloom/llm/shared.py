@@ -2,43 +2,58 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own: list[str] = []
+#: Spark's setting that removes a query's shuffle files when it has ended.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (as in tests) one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir, which has to be set."""
     if root := spark.conf.get("spark.checkpoint.dir", None):
         return root.rstrip("/")
-    if not _own:
-        _own.append("file://" + tempfile.mkdtemp(prefix="sparkloom-"))
-    return _own[0]
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def tidy(spark: SparkSession):
+    """Shuffle files of the queries that run within it go as each ends, not when the driver collects its garbage."""
+    before = spark.conf.get(TIDY)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(TIDY, before)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written as a table in the shared folder and read again: it cuts the lineage and survives lost executors."""
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with tidy(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def freed(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of DataFrames that are gone, rather than when the driver's memory fills."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables that saved() wrote and that nothing reads any more. On a store that pyarrow can't reach they stay."""
+    for path in {f.rpartition("/")[0] for t in tables for f in t.inputFiles()}:
+        try:
+            store, at = fs.FileSystem.from_uri(path)
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+            continue
+        store.delete_dir(at)
 
 
 #: Edges that one task contracts at a time.
