@@ -9,7 +9,8 @@ signature trees: a tree node has the OR of its members' token bitmaps and their
 and a dual traversal drops pairs of tree nodes whose largest possible overlap is too small; pairs
 left are compared. A group larger than a task takes is cut into blocks, and whatever the blocks
 leave apart is traversed block against block, so that pairs exist only within tasks. Lists of a
-rare shingle whose nodes lie in several groups are such groups too.
+rare shingle whose nodes lie in several groups pass such trees of bitmaps first, and groups with
+members that may link become one.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 #: Counters of shingles; their ranks, a byte each, are all that is broadcast.
 COUNTERS = 1 << 20
+#: Vectors in which a task hands on its counters.
+SLICES = 64
 #: Nodes and shingles of a block, of which one task holds two at a time; larger groups are cut.
 GROUP_NODES, GROUP_SHINGLES = 4000, 1_000_000
 #: Children of a tree node.
@@ -98,23 +101,33 @@ def width_of(most: int) -> int:
 
 
 class Tree:
-    """A signature tree over sets: FANOUT neighbours by smallest token, and so likely alike, under each node.
+    """A signature tree over sets: FANOUT neighbours of the given order under each node.
 
     levels[0] has the sets, and each further level the nodes above: bits (OR of the bitmaps), lo and
     hi (sizes), excess (the most tokens that a set has beyond the bits that it fills).
     """
 
-    def __init__(self, sets: list[np.ndarray], words: int):
-        order = sorted(range(len(sets)), key=lambda i: (sets[i][0], len(sets[i])))
-        self.members, self.sets = np.array(order), [sets[i] for i in order]
-        size = np.array([len(s) for s in self.sets])
+    def __init__(self, bits: np.ndarray, size: np.ndarray, excess: np.ndarray, order: np.ndarray, sets: list[np.ndarray] | None):
+        self.members, self.sets = order, sets and [sets[i] for i in order]
+        self.levels = [(bits[order], size[order], size[order], excess[order])]
+        while len(self.levels[-1][0]) > 1 or len(self.levels) == 1:
+            self.add_level()
+
+    @classmethod
+    def of_sets(cls, sets: list[np.ndarray], words: int) -> Tree:
+        """Neighbours have the same smallest token, and so are likely alike."""
         bits = np.zeros((len(sets), words), np.uint64)
-        for row, s in zip(bits, self.sets, strict=True):
+        for row, s in zip(bits, sets, strict=True):
             at = s & np.uint64(64 * words - 1)
             np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        self.levels = [(bits, size, size, size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64))]
-        while len(self.levels[-1][0]) > 1 or len(self.levels) == 1:
-            self.add_level()
+        size = np.array([len(s) for s in sets])
+        return cls(bits, size, size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64), np.lexsort((size, [s[0] for s in sets])), sets)
+
+    @classmethod
+    def of_bitmaps(cls, maps: list[np.ndarray], size: np.ndarray, words: int) -> Tree:
+        """maps: bitmaps of words or a half, a quarter, ... of them, which are repeated; neighbours are alike in size."""
+        excess = size - np.array([int(np.bitwise_count(x).sum()) for x in maps])
+        return cls(np.array([np.tile(x, words // len(x)) for x in maps]), size, excess, np.argsort(size, kind="stable"), None)
 
     def add_level(self) -> None:
         bits, lo, hi, excess = self.levels[-1]
@@ -145,7 +158,8 @@ def tree_links(a: Tree, b: Tree, labels_a: np.ndarray, labels_b: np.ndarray, per
     """Links (i, j) between the sets of two trees, or of one (a is b), that connect what all links do.
 
     labels name the component of each set, in the order in which the sets were given. Sets of equal
-    labels are connected already and not compared; links found change the labels.
+    labels are connected already and not compared; links found change the labels. Trees of bitmaps
+    give links of all pairs that may link.
     """
     while len(a.levels) < len(b.levels):
         a.add_level()
@@ -171,7 +185,7 @@ def tree_links(a: Tree, b: Tree, labels_a: np.ndarray, labels_b: np.ndarray, per
             p, q = p + i * FANOUT, q + j * FANOUT
             if below:
                 stack.append((below, p, q))
-            elif own_a[p] != own_b[q] and linked(a.sets[p], b.sets[q], percent):
+            elif own_a[p] != own_b[q] and (a.sets is None or linked(a.sets[p], b.sets[q], percent)):
                 yield int(a.members[p]), int(b.members[q])
                 old, new = own_b[q], own_a[p]
                 own_b[own_b == old] = new
@@ -228,15 +242,23 @@ def nodes_of(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
         return [ids, *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))), pa.array([False] * len(ids))]
 
     def last(state):
-        at = np.flatnonzero(state["counts"])
-        return [pa.nulls(len(at), pa.int64()), pa.array(state["counts"][at]), pa.array(at), pa.nulls(len(at), pa.binary()), pa.array(np.ones(len(at), bool))]
+        slices = [x.tobytes() for x in state["counts"].reshape(SLICES, -1)]
+        none = pa.nulls(SLICES, pa.int64())
+        return [none, none, pa.array(range(SLICES), pa.int64()), pa.array(slices, pa.binary()), pa.array([True] * SLICES)]
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[k] = sums.get(k, 0) + np.frombuffer(x.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["k", "sums"])
 
     rows = saved(_mapped(docs, "doc_id bigint, n bigint, node bigint, bits binary, counter boolean", width, one, last), "sets")
-    sums = rows.where("counter").groupBy("node").agg(F.sum("n").alias("n"))
-    found = sums.select(F.col("node").cast("int"), "n").toArrow()
-    counts = np.zeros(COUNTERS, np.int64)
-    counts[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    return rows.where("NOT counter").drop("counter"), ranked(counts)
+    found = rows.where("counter").select("node", "bits").repartition("node").mapInArrow(added, "k bigint, sums binary").toArrow()
+    counts = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
+    for k, x in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
+        counts[k] = np.frombuffer(x, np.int64)
+    return rows.where("NOT counter").drop("counter"), ranked(counts.ravel())
 
 
 def shared_parts(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -267,13 +289,13 @@ def _allowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rows = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
             yield batch.filter(pa.array([pair_may_link(*r, percent) for r in rows], pa.bool_())).select(["a", "b"])
 
-    one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}")) for x in "ab")
+    one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("data").alias(f"bits_{x}")) for x in "ab")
     rows = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
     return rows.mapInArrow(run, "a bigint, b bigint")
 
 
 def _tokens(docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
-    """(node, tokens) of the nodes of sets (node, doc_id), tokens being the sorted hashes in a row.
+    """(node, data) of the nodes of sets (node, doc_id), data being the sorted hashes in a row.
 
     The documents are found by a filter of FILTER_BITS bits, which has a fixed size and may let more
     pass; the join on the node is exact.
@@ -291,29 +313,31 @@ def _tokens(docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
             batch = batch.filter(pa.array((of_docs.value[p >> 6] >> (p & 63)) & 1 == 1))
             for i in range(0, batch.num_rows, 500):
                 sets = [s for s in shingles(batch.column(1).slice(i, 500).to_pylist(), width) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "data"])
 
-    found = rows.mapInArrow(run, "node bigint, tokens binary").join(sets.select("node"), "node", "left_semi")
-    return saved(found.groupBy("node").agg(F.first("tokens").alias("tokens")), "tokens")
+    found = rows.mapInArrow(run, "node bigint, data binary").join(sets.select("node"), "node", "left_semi")
+    return saved(found.groupBy("node").agg(F.first("data").alias("data")), "tokens")
 
 
-def _compared(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) of nodes within the blocks of rows (g, i, j, side, node, label).
+def _compared(rows: DataFrame, data: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Links (a, b) of nodes within the blocks of rows (g, i, j, side, node, n, label); if not exact, of nodes that may link.
 
-    A block (g, i, j) that has rows of both sides is traversed one side against the other, another
-    one with itself; sorted blocks pass through a task one after the other.
+    data has the tokens of each node, or their bitmaps if not exact. A block (g, i, j) that has rows
+    of both sides is traversed one side against the other, another one with itself; sorted blocks
+    pass through a task one after the other.
     """
 
     def traversed(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
-        words = width_of(max(map(len, sets)))
-        labels = np.array([r[2] for r in rows])
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        size = np.array([r[2] for r in rows])
+        words = width_of(max(map(len, sets))) if exact else max(map(len, sets))
+        tree = lambda k, m: Tree.of_sets(sets[k:m], words) if exact else Tree.of_bitmaps(sets[k:m], size[k:m], words)
+        labels = np.array([r[3] for r in rows])
         cut = next((k for k, r in enumerate(rows) if r[0]), 0)
-        if not cut:
-            tree = Tree(sets, words)
-            found = tree_links(tree, tree, labels, labels, percent)
+        if cut:
+            found = tree_links(tree(0, cut), tree(cut, len(sets)), labels[:cut], labels[cut:], percent)
         else:
-            found = tree_links(Tree(sets[:cut], words), Tree(sets[cut:], words), labels[:cut], labels[cut:], percent)
+            found = tree_links(one := tree(0, len(sets)), one, labels, labels, percent)
         for x, y in found:
             yield rows[x][1], rows[cut + y][1]
 
@@ -321,12 +345,12 @@ def _compared(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         links: list[tuple[int, int]] = []
         block, held = None, []
         for batch in batches:
-            for *at, side, node, label, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for *at, side, node, n, label, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if at != block:
                     if len(held) > 1:
                         links += traversed(held)
                     block, held = at, []
-                held.append((side, node, label, data))
+                held.append((side, node, n, label, x))
             yield as_rows(links)
             links = []
         if len(held) > 1:
@@ -336,11 +360,11 @@ def _compared(rows: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     def as_rows(links: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    rows = rows.join(tokens, "node").select("g", "i", "j", "side", "node", "label", "tokens")
+    rows = rows.join(data, "node").select("g", "i", "j", "side", "node", "n", "label", "data")
     return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(run, "a bigint, b bigint")
 
 
-def links_within(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+def links_within(members: DataFrame, data: DataFrame, percent: int, exact: bool = True) -> DataFrame:
     """Links (a, b) of nodes within each group of members (g, node, n, label) that connect what all do; equal labels are connected already.
 
     Groups that exceed a block are cut. Each block is joined with itself, then one member of each of
@@ -349,21 +373,21 @@ def links_within(members: DataFrame, tokens: DataFrame, percent: int) -> DataFra
     different components one at least is such a member.
     """
     placed = saved(_placed(members), "placed")
-    own = lambda rows: rows.select("g", F.col("chunk").alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"), "node", "label")
-    links = saved(_compared(own(placed), tokens, percent), "links")
+    own = lambda rows: rows.select("g", F.col("chunk").alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"), "node", "n", "label")
+    links = saved(_compared(own(placed), data, percent, exact), "links")
     large = placed.where("chunks > 1")
     if large.isEmpty():
         return links
     one = _relabelled(large, links).groupBy("g", "label").agg(F.min(F.struct("node", "n")).alias("r")).select("g", "label", "r.*")
-    links = saved(links.union(_compared(own(_placed(one)), tokens, percent)), "links")
+    links = saved(links.union(_compared(own(_placed(one)), data, percent, exact)), "links")
     now = saved(_relabelled(large, links), "now")
     most = now.groupBy("g", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("g").agg(F.max_by("label", F.struct("c", "label")).alias("most"))
     outside = now.join(most, "g").where("label != most").drop("most")
     outside = saved(_placed(outside.withColumn("home", F.col("chunk")).drop("chunk", "chunks")).join(now.select("g", F.col("chunks").alias("all")).distinct(), "g"), "outside")
     times = outside.groupBy("g").agg(F.max("chunks").alias("times"))
-    stay = now.join(times, "g").select("g", F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("j"), F.lit(0).alias("side"), "node", "label")
-    visit = outside.select("g", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "label", "home")
-    return links.union(saved(_compared(stay.union(visit.where("i != home").drop("home")), tokens, percent), "links"))
+    stay = now.join(times, "g").select("g", F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("j"), F.lit(0).alias("side"), "node", "n", "label")
+    visit = outside.select("g", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "n", "label", "home")
+    return links.union(saved(_compared(stay.union(visit.where("i != home").drop("home")), data, percent, exact), "links"))
 
 
 def _placed(members: DataFrame) -> DataFrame:
@@ -395,25 +419,24 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     nodes, ranks = nodes_of(docs, width)
     filled = nodes.where("node IS NOT NULL")
     parts = shared_parts(docs, ranks, width, percent)
-    sets = filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("bits").alias("bits")).where("doc_id IS NOT NULL")
+    sets = filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("bits").alias("data")).where("doc_id IS NOT NULL")
     sets = saved(sets.join(parts.select("node").distinct(), "node", "left_semi"), "members")
-    tokens = _tokens(docs, sets, width)
-    near = saved(_allowed(parts.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent), "near")
-    roots = saved(components(near).select("node", F.col("component").alias("root")), "roots")
-    sizes = sets.select("node", "n")
-    links = links_within(roots.withColumnRenamed("root", "g").join(sizes, "node").withColumn("label", F.col("node")), tokens, percent)
-    # lists that reach over several groups, each different one once
-    rooted = parts.select("key", "node").join(sizes.join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root")), "node")
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("lo != hi")
-    lists = saved(rooted.join(mixed.groupBy("c", "h", "lo", "hi").agg(F.min("key").alias("key")).select("key"), "key").select(F.col("key").alias("g"), "node", "n", F.col("node").alias("label")), "lists")
-    if not lists.isEmpty():
-        links = links.union(links_within(_relabelled(lists, links), tokens, percent))
+    others = parts.where("node != least")
+    near = saved(_allowed(others.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent), "near")
+    # lists of which the nodes besides the smallest reach over several groups, each different one once
+    rooted = _relabelled(others.join(sets.select("node", "n"), "node").select(F.col("key").alias("g"), "node", "n", F.col("node").alias("label")), near)
+    mixed = rooted.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("lo != hi")
+    lists = saved(rooted.join(mixed.groupBy("c", "h", "lo", "hi").agg(F.min("g").alias("g")).select("g"), "g"), "lists")
+    more = near if lists.isEmpty() else near.union(links_within(lists, sets.select("node", "data"), percent, exact=False))
+    groups = saved(components(more).join(sets.select("node", "n", "doc_id"), "node").select(F.col("component").alias("g"), "node", "n", F.col("node").alias("label"), "doc_id"), "groups")
+    tokens = _tokens(docs, groups, width)
+    links = links_within(groups.drop("doc_id"), tokens, percent)
     found = saved(components(links), "components")
     first = filled.groupBy("node").agg(F.min("doc_id").alias("first"))
     named = first.join(found, "node").select("node", "component", "first")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = saved(named.join(least, "component").select("node", "component_id"), "named")
-    dropped(parts, sets, tokens, near, roots, links, lists, found)
+    dropped(parts, sets, tokens, near, more, lists, groups, links, found)
     alone = first.join(named, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
     return nodes.join(alone, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
