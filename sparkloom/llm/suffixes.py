@@ -1,285 +1,450 @@
 """Removal of byte strings that stand in an earlier document, by a distributed merge sort of suffixes.
 
-Two documents that share a string of LENGTH bytes share an anchor in it: the k-gram of least hash
-among all of the string. Anchors whose k-gram stands in one document only are dropped, and anchors
-with equal surroundings are taken together. The suffixes that begin at the strings around the
-anchors left are sorted in runs, front-coded, dealt out by key range and merged by loser trees
-that know how long a prefix each run's head shares with the last winner, so that no known prefix
-is compared again. In the merged order equal strings are neighbours; the smallest document of each
-keeps its copy.
+Every string of LENGTH bytes has an anchor, the k-gram of least hash in it, and so equal strings
+have equal anchors. A first exchange of sorted, delta-coded hashes leaves the anchors whose k-gram
+stands in several documents. The text of all strings that an anchor stands for, some 60 bytes, is
+a suffix of its document as far as it matters: these are sorted in runs, front-coded, dealt out by
+key range and merged by loser trees that know how long a prefix each run's head shares with the
+last winner, so that no known prefix is compared again. In the merged order equal texts are
+neighbours; all but the smallest document lose theirs. Where a k-gram has several surroundings,
+the smallest documents' strings of LENGTH bytes themselves are sorted and merged in the same way,
+after an exchange of hashes has dropped those that stand in one document only.
 """
 
 from __future__ import annotations
 
-import bisect
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import BYTE_VALUES, mix, powers, saved
+from .shared import BYTE_VALUES, dropped, mix, powers, saved
 
 LENGTH = 50
 #: Bytes of an anchor's k-gram: small, so that anchors are rare; large, so that few are shared by chance.
-GRAM = 24
-#: Strings of LENGTH bytes per anchor at most, and bytes to the left of an anchor that they reach.
+GRAM = 32
+#: Places of a k-gram in a string of LENGTH bytes, less one.
 REACH = LENGTH - GRAM
-#: Suffixes of a run.
-RUN = 50_000
-SALT = np.uint64(0xA5A5F00D)
-
-
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray, down: np.ndarray) -> np.ndarray:
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-
-
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of a text's anchors, the hashes of their k-grams and of all that lies within reach (with its size on either side)."""
+#: Bytes of a suffix in the first merge: the text, its length and the anchor's place in it.
+WIDTH = LENGTH + REACH + 2
+#: Bytes of text that are looked at together, anchors of a run of hashes, suffixes of a sorted run.
+BATCH, RUN_HASHES, RUN = 1 << 20, 2_000_000, 200_000
+#: Bits of hashes that are exchanged; equal ones by chance only add candidates.
+BITS = 48
+_PLACE = np.uint64((1 << 24) - 1)
+#: Windows looked at together, fewer than _PLACE can number.
+_PIECE = 1 << 23
+
+HASHES = "r int, hashes binary, docs binary, codes binary"
+SUFFIXES = "r int, shared binary, rest binary, docs binary, starts binary, ends binary"
+
+
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of texts that follow each other in data, ends being where each ends: places, hashes of the k-grams, and the first and last start of the strings that each stands for."""
     n = len(data)
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     if n < LENGTH:
-        return none
+        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 2)
+    gram = window_hashes(data, GRAM)
+    limit = np.repeat(ends, np.diff(ends, prepend=0))
+    found = []
+    for begin in range(0, n - LENGTH + 1, _PIECE):
+        g = gram[begin : begin + _PIECE + REACH]
+        # the least of REACH + 1 neighbours, by doubling; of equal hashes the last counts, which the low bits see to
+        low, have = (g & ~_PLACE) | (_PLACE - np.arange(len(g), dtype=np.uint64)), 1
+        while have <= REACH:
+            step = min(have, REACH + 1 - have)
+            low = np.minimum(low[:-step], low[step:])
+            have += step
+        found.append((_PLACE - (low & _PLACE)).astype(np.int64) + begin)
+    of_window = np.concatenate(found)
+    start = np.flatnonzero(np.arange(len(of_window)) + LENGTH <= limit[: len(of_window)])
+    a = of_window[start]
+    first = np.flatnonzero(np.diff(a, prepend=-1))
+    last = np.append(first[1:], len(a)) - 1
+    return a[first], gram[a[first]], start[first], start[last]
+
+
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of each string of width bytes."""
+    n = len(data)
     up, down = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE_VALUES[data] * up[:n], out=sums[1:])
-    at = np.arange(n - GRAM + 1)
-    gram = _hashes(data, at, at + GRAM, sums, down)
-    # the least in every window of REACH + 1 k-grams, by doubling; of equal hashes the k-grams are equal and the last counts
-    width = REACH + 1
-    low, have = gram.copy(), 1
-    while have < width:
-        step = min(have, width - have)
-        low = np.minimum(low[:-step], low[step:])
-        have += step
-    # a k-gram is an anchor if it is the least of some window: the last place of that value in it
-    is_low = np.zeros(len(gram), bool)
-    places = _last_of_least(gram, low, width)
-    is_low[places] = True
-    a = np.flatnonzero(is_low)
-    lo, hi = np.maximum(a - REACH, 0), np.minimum(a + LENGTH, n)
-    around = _hashes(data, lo, hi, sums, down) ^ mix((a - lo).astype(np.uint64) + SALT)
-    return a, gram[a], around
-
-
-def _last_of_least(gram: np.ndarray, low: np.ndarray, width: int) -> np.ndarray:
-    """For each window the last place whose value is the window's least."""
-    # candidates: places that equal the least of a window that holds them
-    n = len(gram)
-    pad = np.full(n + 2 * (width - 1), np.uint64(0))
-    pad[width - 1 : width - 1 + len(low)] = low  # windows that begin at i
-    most, have = pad, 1
-    while have < width:  # the largest least of the windows that hold a place
-        step = min(have, width - have)
-        most = np.maximum(most[:-step], most[step:])
-        have += step
-    maybe = np.flatnonzero(gram == most[:n])
-    values = gram[maybe]
-    # of several equal values in one window, all but the last are covered by it: walk over the few that remain
-    begin = np.arange(len(low))
-    right = np.searchsorted(maybe, begin + width, side="left") - 1
-    out = maybe[right]
-    wrong = values[right] != low
-    while wrong.any():
-        right[wrong] -= 1
-        out[wrong] = maybe[right[wrong]]
-        wrong = values[right] != low
-    return np.unique(out)
-
-
-def _utf8(column: pa.Array) -> Iterator[np.ndarray]:
-    for x in column:
-        yield np.frombuffer((x.as_py() or "").encode(), np.uint8)
-
-
-def shared_anchors(docs: DataFrame) -> DataFrame:
-    """(gram, around, doc_id, place, first_same, alone) of the anchors whose k-gram stands in several documents.
-
-    first_same is the smallest document with equal surroundings; alone says whether all anchors of
-    the k-gram have equal ones.
-    """
+    return mix((sums[width:] - sums[:-width]) * down[: n - width + 1])
+
+
+def planes(x: np.ndarray) -> bytes:
+    """Integers byte by byte, all lowest bytes first: the high ones, mostly zero, then take no room when compressed."""
+    return np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unplanes(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _groups(keys: np.ndarray) -> np.ndarray:
+    """Where groups of equal neighbours begin."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts: list[tuple] = []
-            size = 0
-            for doc_id, data in zip(batch.column(0).to_pylist(), _utf8(batch.column(1)), strict=True):
-                a, g, c = anchors(data)
-                if len(a):
-                    parts.append((g, c, np.full(len(a), doc_id), a))
-                    size += len(a)
-                if size > 200_000:
-                    yield _rows(parts)
-                    parts, size = [], 0
-            if parts:
-                yield _rows(parts)
 
-    def _rows(parts: list[tuple]) -> pa.RecordBatch:
-        g, c, d, a = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(d), pa.array(a.astype(np.int32))], names=["gram", "around", "doc_id", "place"])
+def _batch(columns: list, schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
-    rows = docs.mapInArrow(run, "gram bigint, around bigint, doc_id bigint, place int")
-    gram, same = Window.partitionBy("gram"), Window.partitionBy("gram", "around")
-    rows = rows.select(
-        "gram", "around", "doc_id", "place", F.min("doc_id").over(same).alias("first_same"),
-        F.min("doc_id").over(gram).alias("__lo"), F.max("doc_id").over(gram).alias("__hi"), (F.min("around").over(gram) == F.max("around").over(gram)).alias("alone"),
-    )
-    return saved(rows.where("__lo != __hi").drop("__lo", "__hi"), "anchors")
 
+def in_several(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]], ranges: int) -> DataFrame:
+    """(doc_id, code) of the hashes that several documents have.
 
-def front_coded(strings: list[bytes]) -> tuple[bytes, bytes]:
-    """Sorted strings of LENGTH bytes as the lengths of the prefixes shared with the one before, and the rests in a row."""
-    x = np.frombuffer(b"".join(strings), np.uint8).reshape(-1, LENGTH)
+    hashes makes of a batch of rows (hashes, doc_ids, codes), rows of a document together and codes
+    not negative. Tasks sort them in runs. Of a hash that a run has in several documents only one
+    goes to the others, marked so; the task knows already that the rest is shared.
+    """
+
+    def coded(parts: list[tuple]) -> pa.RecordBatch:
+        h, doc, code = (np.concatenate(x) for x in zip(*parts, strict=True))
+        h >>= np.uint64(64 - BITS)
+        order = np.argsort(h, kind="stable")
+        h, doc, code = h[order], doc[order], code[order]
+        at = _groups(h)
+        size = np.diff(np.append(at, len(h)))
+        several = np.repeat(np.logical_or.reduceat(doc != np.repeat(doc[at], size), at), size)
+        told = np.zeros(len(h), bool)
+        told[at] = several[at]
+        known = several & ~told
+        out = [(k % ranges, None, planes(doc[p]), planes(code[p])) for k, p in enumerate(np.array_split(np.flatnonzero(known), -(-int(known.sum()) // 100_000))) if len(p)] if known.any() else []
+        h, doc, code = h[~known], doc[~known], 2 * code[~known] + told[~known]
+        cuts = [0, *np.searchsorted(h, np.array([-(-(k << BITS) // ranges) for k in range(1, ranges)], np.uint64)).tolist(), len(h)]
+        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a:
+                out.append((r, planes(np.diff(h[a:b], prepend=np.uint64(0))), planes(doc[a:b]), planes(code[a:b])))
+        return _batch(list(zip(*out, strict=True)), HASHES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple] = []
+        size = 0
+        for batch in batches:
+            for part in hashes(batch):
+                parts.append(part)
+                size += len(part[0])
+                if size >= RUN_HASHES:
+                    yield coded(parts)
+                    parts, size = [], 0
+        if size:
+            yield coded(parts)
+
+    def counted(table: pa.Table) -> pa.Table:
+        docs, codes, held = [], [], []
+        for h, d, c in zip(*(table.column(c).to_pylist() for c in ("hashes", "docs", "codes")), strict=True):
+            if h is None:
+                docs.append(unplanes(d))
+                codes.append(unplanes(c))
+            else:
+                held.append((np.cumsum(unplanes(h)), unplanes(d), unplanes(c)))
+        if held:
+            h, d, c = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(h, kind="stable")
+            h, d, c = h[order], d[order], c[order]
+            at = _groups(h)
+            size = np.diff(np.append(at, len(h)))
+            shared = np.repeat(np.logical_or.reduceat((d != np.repeat(d[at], size)) | (c & 1 == 1), at), size)
+            docs.append(d[shared])
+            codes.append(c[shared] >> 1)
+        return pa.table([np.concatenate(docs), np.concatenate(codes)], names=["doc_id", "code"])
+
+    return rows.mapInArrow(run, HASHES).groupBy("r").applyInArrow(counted, "doc_id bigint, code bigint")
+
+
+def _texts(ids: list[int], texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, texts in a row, where each ends) of a few texts at a time."""
+    begin = size = 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= BATCH or k == len(texts) - 1:
+            part = texts[begin : k + 1]
+            yield np.array(ids[begin : k + 1], np.int64), np.frombuffer(b"".join(part), np.uint8), np.cumsum([len(x) for x in part])
+            begin, size = k + 1, 0
+
+
+def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
+    """(doc_id, code) of anchors whose k-gram stands in several documents; code has the place and how far the strings that it stands for begin before it, at most and at least."""
+
+    def hashes(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for ids, data, ends in _texts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, g, first, last = anchors(data, ends)
+            doc = np.searchsorted(ends, a, side="right")
+            yield g, ids[doc], ((a - (ends[doc] - np.diff(ends, prepend=0)[doc])) << 10) | ((a - first) << 5) | (a - last)
+
+    return in_several(docs.select("doc_id", F.col("text").cast("binary")), hashes, ranges)
+
+
+def front_coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted rows of bytes as the lengths of the prefixes shared with the one before, and the rests in a row."""
     same = np.zeros(len(x), np.int64)
     differ = x[1:] != x[:-1]
-    same[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), LENGTH)
-    rest = b"".join(s[k:] for s, k in zip(strings, same.tolist(), strict=True))
-    return same.astype(np.uint8).tobytes(), rest
+    same[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), x.shape[1])
+    return same.astype(np.uint8), x[np.arange(x.shape[1]) >= same[:, None]]
 
 
-def decoded(shared: bytes, rest: bytes) -> Iterator[tuple[int, bytes]]:
-    """(prefix shared with the one before, string) in order."""
-    at, last = 0, b""
-    for k in shared:
-        last = last[:k] + rest[at : at + LENGTH - k]
-        at += LENGTH - k
-        yield k, last
+def decoded(same: np.ndarray, rest: np.ndarray, width: int) -> np.ndarray:
+    x = np.zeros((len(same), width), np.uint8)
+    x[np.arange(width) >= same[:, None]] = rest
+    rows = np.arange(len(same))
+    for k in range(width):  # a byte that is shared stands in the last row that has its own
+        x[:, k] = x[np.maximum.accumulate(np.where(same <= k, rows, 0)), k]
+    return x
 
 
-def merged(runs: list[Iterator[tuple[int, bytes, object]]]) -> Iterator[tuple[int, bytes, object]]:
-    """Runs of (prefix shared with the one before, string, load) in one order, with prefixes shared in that order.
+def merged(runs: list[tuple[list[int], list[bytes]]], width: int) -> tuple[list[int], list[int]]:
+    """The order of the rows of all runs, numbered through, and the prefix that each shares with the one before in it.
 
-    A loser tree: every head carries the length that it shares with the last winner. Of two heads
-    the one that shares more is smaller, and only of equal lengths are bytes compared, from there on.
+    Runs are (prefixes shared with the row before, rows). A loser tree: every head carries the
+    length that it shares with the last winner. Of two heads the one that shares more is smaller,
+    and only of equal lengths are bytes compared, from there on.
     """
     k = len(runs)
-    end = (-1, None, None)
-    heads: list[tuple] = []
-    for r in runs:
-        head = next(r, None)
-        heads.append(end if head is None else (0, *head[1:]))
+    base = np.cumsum([0, *(len(r[1]) for r in runs)]).tolist()
+    at = [0] * k
+    head: list[bytes | None] = [r[1][0] if r[1] else None for r in runs]
+    lcp = [0 if h is not None else -1 for h in head]
     losers = [-1] * k
 
     def beats(i: int, j: int) -> bool:
-        """Whether head i comes before head j; the loser's length is set to what it shares with the winner."""
-        a, b = heads[i], heads[j]
-        if a[1] is None or b[1] is None:
-            return b[1] is None
-        if a[0] != b[0]:
-            return a[0] > b[0]
-        x, y, n = a[1], b[1], a[0]
-        if x[n:] == y[n:]:
-            heads[j] = (LENGTH, y, b[2])
+        """Whether head i, of the same length as head j, comes first; the loser's length is set to what it shares with the winner."""
+        x, y, n = head[i], head[j], lcp[i]
+        if x is None or y is None:
+            return y is None
+        if x == y:
+            lcp[j] = width
             return True
         while x[n] == y[n]:
             n += 1
         if x[n] < y[n]:
-            heads[j] = (n, y, b[2])
+            lcp[j] = n
             return True
-        heads[i] = (n, x, a[2])
+        lcp[i] = n
         return False
 
     def build(node: int) -> int:
         if node >= k:
             return node - k
         i, j = build(2 * node), build(2 * node + 1)
-        winner, loser = (i, j) if beats(i, j) else (j, i)
-        losers[node] = loser
-        return winner
-
-    winner = build(1) if k > 1 else 0
-    while heads[winner][1] is not None:
-        yield heads[winner]
-        head = next(runs[winner], None)
-        heads[winner] = end if head is None else head
-        node = (winner + k) // 2
+        first = lcp[i] > lcp[j] or (lcp[i] == lcp[j] and beats(i, j))
+        losers[node] = j if first else i
+        return i if first else j
+
+    order, shared = [], []
+    w = build(1) if k > 1 else 0
+    while k and lcp[w] >= 0:
+        order.append(base[w] + at[w])
+        shared.append(lcp[w])
+        at[w] += 1
+        same, rows = runs[w]
+        if at[w] < len(rows):
+            head[w], lcp[w] = rows[at[w]], same[at[w]]
+        else:
+            head[w], lcp[w] = None, -1
+        node = (w + k) >> 1
         while node:
-            other = losers[node]
-            if beats(other, winner):
-                losers[node], winner = winner, other
-            node //= 2
-
-
-def removed_strings(texts: DataFrame, places: DataFrame, ranges: int) -> DataFrame:
-    """(doc_id, start) of strings of LENGTH bytes that also start in a smaller document, among those around the places (doc_id, places).
-
-    Runs are sorted where their texts are; each range of keys gets the front-coded parts of all
-    runs and merges them.
+            o = losers[node]
+            if lcp[o] > lcp[w] or (lcp[o] == lcp[w] and beats(o, w)):
+                losers[node], w = w, o
+            node >>= 1
+    return order, shared
+
+
+def unions(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of documents with those that touch made one."""
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order], end[order]
+    if not len(doc):
+        return doc, start, end
+    step = int(end.max()) + 1
+    shift = step * np.cumsum(np.concatenate([[0], doc[1:] != doc[:-1]]))  # spans of different documents can't touch
+    reach = np.maximum.accumulate(end + shift)
+    at = np.flatnonzero(np.concatenate([[True], (start + shift)[1:] > reach[:-1]]))
+    return doc[at], start[at], np.maximum.reduceat(end, at)
+
+
+def bounds_of(docs: DataFrame, ranges: int) -> np.ndarray:
+    """Keys of 16 bytes that cut the suffixes into about so many ranges, from texts of 64 documents a range."""
+    data = F.col("text").cast("binary")
+    at = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.octet_length("text") - 16, F.lit(1)))
+    some = docs.where(F.octet_length("text") >= 16).select(data.substr(at.cast("int"), F.lit(16)).alias("k"), F.xxhash64("doc_id", F.lit(1)).alias("h"))
+    keys = sorted(bytes(r["k"]) for r in some.groupBy(F.pmod("h", F.lit(64 * ranges)).alias("b")).agg(F.min_by("k", "h").alias("k")).collect())
+    cuts = sorted({keys[len(keys) * i // ranges] for i in range(1, ranges)}) if keys else []
+    return np.array(cuts, "S16")
+
+
+def sorted_and_merged(rows: DataFrame, suffixes: Callable[[pa.RecordBatch], Iterator[tuple]], width: int, bounds: np.ndarray, schema: str, of_first: Callable) -> DataFrame:
+    """Rows of schema: spans (doc_id, start, end) of the suffixes that also stand in a smaller document, and what of_first makes of all the others.
+
+    suffixes makes of a batch of rows (bytes as rows of a width, doc_ids, starts, ends); of_first
+    takes those. Tasks sort runs of RUN suffixes or more; of equal ones of a run only the smallest
+    document's go on, and the spans of the rest are known.
     """
-    rows = texts.join(places, "doc_id")
 
-    def strings(data: bytes, around: list[int]) -> Iterator[tuple[bytes, int]]:
-        starts = sorted({i for p in around for i in range(max(0, p - REACH), min(p, len(data) - LENGTH) + 1)})
-        for i in starts:
-            yield data[i : i + LENGTH], i
-
-    sample = rows.select(F.substring(F.col("text").cast("binary"), F.element_at("places", 1) + 1, 8).alias("k"))
-    bounds = [bytes(r["k"]) for r in sample.groupBy(F.pmod(F.xxhash64("k"), F.lit(64 * ranges)).alias("h")).agg(F.min("k").alias("k")).collect() if r["k"]]
-    bounds = sorted(set(bounds))
-    bounds = [bounds[len(bounds) * i // ranges] for i in range(1, ranges)] if len(bounds) >= ranges else bounds
+    def coded(parts: list[tuple]) -> pa.RecordBatch:
+        x, doc, start, end = (np.concatenate(v) for v in zip(*parts, strict=True))
+        order = np.argsort(np.ascontiguousarray(x).view(f"S{width}").ravel(), kind="stable")
+        x, doc, start, end = x[order], doc[order], start[order], end[order]
+        at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)]))
+        first = doc == np.repeat(np.minimum.reduceat(doc, at), np.diff(np.append(at, len(doc))))
+        out = []
+        if not first.all():
+            d, s, e = unions(doc[~first], start[~first], end[~first])
+            for k in range(0, len(d), 100_000):
+                p = slice(k, k + 100_000)
+                out.append((int(d[k]) % (len(bounds) + 1), None, None, planes(d[p]), planes(s[p]), planes(e[p])))
+        x, doc, start, end = x[first], doc[first], start[first], end[first]
+        of_range = np.searchsorted(bounds, np.ascontiguousarray(x[:, :16]).view("S16").ravel(), side="right")
+        cuts = [0, *np.flatnonzero(np.diff(of_range)) + 1, len(x)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            same, rest = front_coded(x[a:b])
+            out.append((int(of_range[a]), same.tobytes(), rest.tobytes(), planes(doc[a:b]), planes(start[a:b]), planes(end[a:b])))
+        return _batch(list(zip(*out, strict=True)), SUFFIXES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[bytes, int, int]] = []
+        parts: list[tuple] = []
+        size = 0
         for batch in batches:
-            for doc_id, text, around in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                waiting += [(s, doc_id, i) for s, i in strings(text.encode(), around)]
-                if len(waiting) >= RUN:
-                    yield coded(waiting)
-                    waiting = []
-        if waiting:
-            yield coded(waiting)
-
-    def coded(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
-        rows.sort()
-        cuts = [0, *(bisect.bisect_left(rows, (b,)) for b in bounds), len(rows)]
-        out = [(r, *front_coded([x[0] for x in rows[a:b]]), np.array([x[1] for x in rows[a:b]], "<i8").tobytes(), np.array([x[2] for x in rows[a:b]], "<i4").tobytes()) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-        kinds = [pa.int32(), *[pa.binary()] * 4]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["r", "shared", "rest", "ids", "starts"])
-
-    def runs_of(table: pa.Table) -> Iterator[Iterator]:
-        for shared, rest, ids, starts in zip(*(table.column(c).to_pylist() for c in ("shared", "rest", "ids", "starts")), strict=True):
-            yield ((k, s, (d, i)) for (k, s), d, i in zip(decoded(shared, rest), np.frombuffer(ids, "<i8").tolist(), np.frombuffer(starts, "<i4").tolist(), strict=True))
+            for part in suffixes(batch):
+                parts.append(part)
+                size += len(part[0])
+                if size >= RUN:
+                    yield coded(parts)
+                    parts, size = [], 0
+        if size:
+            yield coded(parts)
 
     def merge(table: pa.Table) -> pa.Table:
-        doc, start, group, least = [], [], [], None
-
-        def close() -> None:
-            for d, i in group:
-                if d > least:
-                    doc.append(d)
-                    start.append(i)
-
-        for k, _, (d, i) in merged(list(runs_of(table))):
-            if k < LENGTH:
-                if group:
-                    close()
-                group, least = [], d
-            group.append((d, i))
-            least = min(least, d)
-        if group:
-            close()
-        return pa.table([pa.array(doc, pa.int64()), pa.array(start, pa.int32())], names=["doc_id", "start"])
-
-    runs = rows.select("doc_id", "text", "places").mapInArrow(run, "r int, shared binary, rest binary, ids binary, starts binary")
-    return saved(runs.groupBy("r").applyInArrow(merge, "doc_id bigint, start int"), "strings")
+        spans, held, rows = [], [], []
+        for same, rest, *places in zip(*(table.column(c).to_pylist() for c in ("shared", "rest", "docs", "starts", "ends")), strict=True):
+            places = [unplanes(p) for p in places]
+            if same is None:
+                spans.append(places)
+                continue
+            same = np.frombuffer(same, np.uint8)
+            x = decoded(same.astype(np.int64), np.frombuffer(rest, np.uint8), width)
+            data = x.tobytes()
+            rows.append((same.tolist(), [data[i : i + width] for i in range(0, len(data), width)]))
+            held.append((x, *places))
+        others = None
+        if held:
+            order, shared = merged(rows, width)
+            x, doc, start, end = (np.concatenate(v)[order] for v in zip(*held, strict=True))
+            at = np.flatnonzero(np.array(shared) < width)
+            first = doc == np.repeat(np.minimum.reduceat(doc, at), np.diff(np.append(at, len(doc))))
+            spans.append([v[~first] for v in (doc, start, end)])
+            others = [v[first] for v in (x, doc, start, end)]
+        return of_first(unions(*(np.concatenate(v) for v in zip(*spans, strict=True))) if spans else [np.zeros(0, np.int64)] * 3, others)
+
+    return rows.mapInArrow(run, SUFFIXES).groupBy("r").applyInArrow(merge, schema)
+
+
+SPANS = "doc_id bigint, start bigint, end bigint"
+CLASSES = f"{SPANS}, gram bigint, data binary"
+
+
+def _surroundings(texts: DataFrame, bounds: np.ndarray) -> DataFrame:
+    """CLASSES of texts (doc_id, text, codes): spans that go, and with gram and data the smallest documents' anchors, data being their text."""
+
+    def suffixes(batch: pa.RecordBatch) -> Iterator[tuple]:
+        codes = batch.column(2).to_pylist()
+        k = 0
+        for ids, data, ends in _texts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = codes[k : k + len(ids)]
+            k += len(ids)
+            doc = np.repeat(np.arange(len(ids)), [len(c) for c in own])
+            code = np.concatenate([np.array(c, np.int64) for c in own])
+            place, most, least = code >> 10, (code >> 5) & 31, code & 31
+            start, end = place - most, place - least + LENGTH
+            size = np.diff(ends, prepend=0)
+            fits = (start >= 0) & (end <= size[doc])  # all do where a doc_id has one text
+            doc, start, end, most = doc[fits], start[fits], end[fits], most[fits]
+            if not len(doc):
+                continue
+            padded = np.concatenate([data, np.zeros(WIDTH, np.uint8)])
+            begin = ends[doc] - size[doc] + start
+            x = np.zeros((len(doc), WIDTH), np.uint8)
+            x[:, :-2] = padded[begin[:, None] + np.arange(WIDTH - 2)]
+            x[:, :-2][np.arange(WIDTH - 2) >= (end - start)[:, None]] = 0
+            x[:, -2], x[:, -1] = end - start, most + 1
+            yield x, ids[doc], start, end
+
+    def of_first(spans, others) -> pa.Table:
+        doc, start, end = spans
+        gram, data = pa.nulls(len(doc), pa.int64()), pa.nulls(len(doc), pa.binary())
+        if others:
+            x, d, s, e = others
+            place = x[:, -1].astype(np.int64) - 1
+            grams = x[np.arange(len(x))[:, None], place[:, None] + np.arange(GRAM)]
+            hashes = window_hashes(grams.ravel(), GRAM)[::GRAM].view(np.int64)
+            doc, start, end = (np.concatenate(v) for v in ((doc, d), (start, s), (end, e)))
+            gram = pa.concat_arrays([gram, pa.array(hashes)])
+            data = pa.concat_arrays([data, pa.array([row.tobytes() for row in x], pa.binary())])
+        return pa.table([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), gram, data], names=[f.split()[0] for f in CLASSES.split(", ")])
+
+    return sorted_and_merged(texts, suffixes, WIDTH, bounds, CLASSES, of_first)
+
+
+def _windows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows (doc_id, start, data): their bytes, and for each string of LENGTH bytes the row, its doc_id and its place in data."""
+    x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, WIDTH)
+    n = x[:, -2].astype(np.int64) - LENGTH + 1
+    row = np.repeat(np.arange(len(x)), n)
+    return x, row, batch.column(0).to_numpy()[row], np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _strings(several: DataFrame, bounds: np.ndarray, ranges: int) -> DataFrame:
+    """Spans of the strings of LENGTH bytes of several (doc_id, start, data) that also stand in a smaller document."""
+
+    def hashes(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for k in range(0, batch.num_rows, 10_000):
+            part = batch.slice(k, 10_000)
+            x, row, doc, place = _windows(part)
+            h = window_hashes(x.ravel(), LENGTH)[row * WIDTH + place]
+            yield h, doc, (part.column(1).to_numpy()[row] << 6) | place
+
+    found = in_several(several, hashes, ranges)
+    found = found.groupBy("doc_id", F.shiftright("code", 6).alias("start")).agg(F.bit_or(F.expr("shiftleft(1L, cast(code & 63 AS int))")).alias("places"))
+    rows = several.join(found, ["doc_id", "start"])
+
+    def suffixes(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for k in range(0, batch.num_rows, 10_000):
+            part = batch.slice(k, 10_000)
+            x, row, doc, place = _windows(part)
+            wanted = (part.column(3).to_numpy()[row] >> place) & 1 == 1
+            row, doc, place = row[wanted], doc[wanted], place[wanted]
+            start = part.column(1).to_numpy()[row] + place
+            yield x[row[:, None], place[:, None] + np.arange(LENGTH)], doc, start, start + LENGTH
+
+    def of_first(spans, others) -> pa.Table:
+        return pa.table([pa.array(v, pa.int64()) for v in spans], names=["doc_id", "start", "end"])
+
+    return sorted_and_merged(rows.select("doc_id", "start", "data", "places"), suffixes, LENGTH, bounds, SPANS, of_first)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
 def removal(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, spans): spans, an array of (start, end), of bytes covered by strings that also start in a smaller document; null if none."""
+    """(doc_id, text, spans): spans, an array of (start, end), of bytes covered by strings that also start in a smaller document; null if none. Jobs run when this is called."""
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = shared_anchors(docs)
-    whole = found.where("doc_id > first_same").select("doc_id", F.greatest(F.col("place") - REACH, F.lit(0)).alias("start"), (F.col("place") + LENGTH).alias("end"))
-    # the smallest document of each kind of surroundings stands for the others, with all of its places: strings go from each of them
-    places = found.where("NOT alone AND doc_id = first_same").groupBy("doc_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    strings = removed_strings(docs, places, ranges).select("doc_id", "start", (F.col("start") + LENGTH).alias("end"))
-    spans = whole.union(strings).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return docs.join(spans, "doc_id", "left")
+    bounds = bounds_of(docs, ranges)
+    found = saved(shared_anchors(docs, ranges), "anchors")
+    places = found.groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
+    classes = saved(_surroundings(docs.join(places, "doc_id").select("doc_id", F.col("text").cast("binary"), "codes"), bounds), "classes")
+    dropped(found)
+    firsts = classes.where("data IS NOT NULL")
+    several = firsts.groupBy("gram").agg(F.min(F.xxhash64("data")).alias("lo"), F.max(F.xxhash64("data")).alias("hi")).where("lo != hi").select("gram")
+    strings = saved(_strings(saved(firsts.join(several, "gram").select("doc_id", "start", "data"), "several"), bounds, ranges), "strings")
+    spans = classes.where("data IS NULL").select("doc_id", "start", "end").union(strings)
+    return docs.join(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "doc_id", "left")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -287,24 +452,24 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     Texts are UTF-8 bytes, null is empty. A byte goes if a string of LENGTH bytes that covers it also
     starts in a document of a smaller doc_id; strings are those of the input, and matches never cross
-    documents. Repeated rows of one doc_id don't remove each other. Rows without doc_id are left out.
+    documents. Repeated rows of one doc_id don't remove each other; should they have different texts,
+    spans found in one are removed from all, as far as they reach. Rows without doc_id are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = np.frombuffer(text.encode(), np.uint8)
+                data = np.frombuffer(text, np.uint8)
                 edge = np.zeros(len(data) + 1, np.int32)
                 if spans:
-                    at = np.array([(s["start"], min(s["end"], len(data))) for s in spans])
+                    at = np.array([(min(s["start"], len(data)), min(s["end"], len(data))) for s in spans])
                     np.add.at(edge, at[:, 0], 1)
                     np.add.at(edge, at[:, 1], -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 n_spans = int(np.count_nonzero(np.diff(gone.view(np.int8), prepend=np.int8(0)) == 1))
                 out.append((doc_id, len(data), int(gone.sum()), n_spans, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
             if out:
-                kinds = [*[pa.int64()] * 4, pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in RESULT.split(", ")])
+                yield _batch(list(zip(*out, strict=True)), RESULT)
 
-    return removal(docs).select("doc_id", "text", "spans").mapInArrow(run, RESULT)
+    return removal(docs).select("doc_id", F.col("text").cast("binary"), "spans").mapInArrow(run, RESULT)

@@ -393,14 +393,36 @@ def test_suffixes_repeated_within_a_document(spark):
     assert got == brute_removal(rows)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_suffixes_of_copies(spark, monkeypatch, small):
+    """Copies, edited copies and shared passages, in runs of any size."""
+    if small:
+        for name, n in (("RUN", 60), ("RUN_HASHES", 100), ("BATCH", 700), ("_PIECE", 64)):
+            monkeypatch.setattr(suffixes, name, n)
+    rng = random.Random(13)
+    piece = lambda n: "".join(rng.choice("abcdefghijklmno é") for _ in range(n))
+    base, passage = piece(700), piece(130)
+    rows = []
+    for i in range(80):
+        k = rng.randrange(len(base))
+        rows.append((i, [base, base[:k] + piece(3) + base[k:], base[k:], piece(200) + passage + piece(50), piece(90), passage * 2][rng.randrange(6)]))
+    rng.shuffle(rows)
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffixes.deduplicated(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()}
+    assert got == brute_removal(rows)
+
+
 def test_merge_of_runs():
     rng = random.Random(2)
     for k in (1, 2, 3, 7):
         runs = [sorted(bytes(rng.choice(b"ab") for _ in range(suffixes.LENGTH)) if rng.random() > 0.3 else b"a" * 50 for _ in range(rng.randrange(1, 30))) for _ in range(k)]
-        coded = [((n, s, None) for n, s in suffixes.decoded(*suffixes.front_coded(r))) for r in runs]
-        out = list(suffixes.merged(coded))
-        assert [s for _, s, _ in out] == sorted(x for r in runs for x in r)
-        for (_, a, _), (n, b, _) in zip(out, out[1:], strict=False):
+        coded = [suffixes.front_coded(np.frombuffer(b"".join(r), np.uint8).reshape(-1, 50)) for r in runs]
+        for r, (same, rest) in zip(runs, coded, strict=True):
+            assert suffixes.decoded(same.astype(int), rest, 50).tobytes() == b"".join(r)
+        order, shared = suffixes.merged([(same.tolist(), r) for r, (same, _) in zip(runs, coded, strict=True)], 50)
+        rows = [x for r in runs for x in r]
+        out = [rows[i] for i in order]
+        assert out == sorted(rows) and sorted(order) == list(range(len(rows)))
+        for a, b, n in zip(out, out[1:], shared[1:], strict=False):
             assert a[:n] == b[:n] and (n == 50 or a[n] != b[n])
 
 
