@@ -28,6 +28,11 @@ NEWER_LETTERS = (
     "1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff 2b73a-2b73f 2b81e-2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f"
 )
 NEWER_NUMBERS = "11de0-11de9 1246f-1246f 12475-1247f 12550-12686 16ff4-16ff6"
+# Lower cases that the vocabulary's own library knows and Python's Unicode doesn't, and ranges with the distance of theirs.
+NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEWER_LOWER_RANGES = [(0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B)]
+_LOWER = NEWER_LOWER | {c: c + far for a, b, far in NEWER_LOWER_RANGES for c in range(a, b + 1)}
+_HAS_LOWER = regex.compile("[" + "".join(map(chr, _LOWER)) + "]")
 
 
 def _class(ranges: str) -> str:
@@ -148,6 +153,8 @@ class WordBpe:
         pattern = self.pattern
         if not _plain(text):
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if _HAS_LOWER.search(text):
+                text = text.translate(_LOWER)
             if self.strange.search(text):
                 pattern = self.strange_pattern
         return pattern.findall(text.lower())

@@ -69,6 +69,20 @@ def test_bpe_special_tokens_and_odd_text():
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_bpe_every_code_point():
+    tokenizers = pytest.importorskip("tokenizers")
+    t = tokenizers.Tokenizer.from_file(bpe.default_vocabulary())
+    t.no_truncation()
+    t.no_padding()
+    own = bpe.tokenizer(bpe.default_vocabulary())
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 50_000):
+        some = points[k : k + 50_000]
+        some += [f"a{x}1" for x in some] if k < 200_000 else []
+        for text, ids, want in zip(some, own.encode(some), t.encode_batch(some, add_special_tokens=False), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids, hex(ord(text[len(text) // 2]))
+
+
 def test_bpe_columns(edge, none):
     coded = bpe.decode(bpe.encode(edge.withColumn("IDS", F.lit(1))))
     assert coded.columns == [*edge.columns, "ids", "decoded"]
