@@ -274,11 +274,10 @@ def shared_parts(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -
                 nodes.append(np.full(len(keys[-1]), h))
         return [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
 
-    rows = saved(_mapped(docs, "key bigint, node bigint", width, one), "keys")
+    # dealt out by key once; both sides of the join use that, and neither holds the rows of a key together
+    rows = _mapped(docs, "key bigint, node bigint", width, one).repartition("key")
     several = rows.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").drop("most")
-    parts = saved(rows.join(several, "key").select("key", "node", "least"), "parts")
-    dropped(rows)
-    return parts
+    return saved(rows.join(several, "key").select("key", "node", "least"), "parts")
 
 
 def _allowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
