@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ REACH = LENGTH - GRAM
 #: Bytes of a suffix in the first merge: the text, its length and the anchor's place in it.
 WIDTH = LENGTH + REACH + 2
 #: Bytes of text that are looked at together, anchors of a run of hashes, suffixes of a sorted run.
-BATCH, RUN_HASHES, RUN = 1 << 20, 2_000_000, 200_000
+BATCH, RUN_HASHES, RUN = 1 << 19, 1_000_000, 150_000
 #: Bits of hashes that are exchanged; equal ones by chance only add candidates.
 BITS = 48
 _PLACE = np.uint64((1 << 24) - 1)
@@ -77,12 +78,23 @@ def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Integers byte by byte, all lowest bytes first: the high ones, mostly zero, then take no room when compressed."""
-    return np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Integers byte by byte, all lowest bytes first, so that high ones compress well; bytes that are zero in all are left out."""
+    n = 8 if len(x) and int(x.min()) < 0 else (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    return len(x).to_bytes(8, "little") + np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :n].T).tobytes()
 
 
-def unplanes(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+def unplanes(b) -> np.ndarray:
+    data = np.frombuffer(b, np.uint8)
+    n = int(data[:8].view("<i8")[0])
+    out = np.zeros((n, 8), np.uint8)
+    if n:
+        out[:, : (len(data) - 8) // n] = data[8:].reshape(-1, n).T
+    return out.view("<i8").ravel()
+
+
+def _buffers(table: pa.Table, *names: str) -> Iterator[tuple]:
+    """The binary values of each row (None for null), without copies."""
+    return zip(*([x.as_buffer() for x in table.column(c)] for c in names), strict=True)
 
 
 def _groups(keys: np.ndarray) -> np.ndarray:
@@ -138,7 +150,7 @@ def in_several(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[tupl
 
     def counted(table: pa.Table) -> pa.Table:
         docs, codes, held = [], [], []
-        for h, d, c in zip(*(table.column(c).to_pylist() for c in ("hashes", "docs", "codes")), strict=True):
+        for h, d, c in _buffers(table, "hashes", "docs", "codes"):
             if h is None:
                 docs.append(unplanes(d))
                 codes.append(unplanes(c))
@@ -169,6 +181,11 @@ def _texts(ids: list[int], texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.
             begin, size = k + 1, 0
 
 
+def _flat(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray]:
+    """The values of all lists in a row, and where each list's begin (with the end at last); null is an empty list."""
+    return lists.flatten(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
 def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
     """(doc_id, code) of anchors whose k-gram stands in several documents; code has the place and how far the strings that it stands for begin before it, at most and at least."""
 
@@ -322,7 +339,7 @@ def sorted_and_merged(rows: DataFrame, suffixes: Callable[[pa.RecordBatch], Iter
 
     def merge(table: pa.Table) -> pa.Table:
         spans, held, rows = [], [], []
-        for same, rest, *places in zip(*(table.column(c).to_pylist() for c in ("shared", "rest", "docs", "starts", "ends")), strict=True):
+        for same, rest, *places in _buffers(table, "shared", "rest", "docs", "starts", "ends"):
             places = [unplanes(p) for p in places]
             if same is None:
                 spans.append(places)
@@ -353,13 +370,12 @@ def _surroundings(texts: DataFrame, bounds: np.ndarray) -> DataFrame:
     """CLASSES of texts (doc_id, text, codes): spans that go, and with gram and data the smallest documents' anchors, data being their text."""
 
     def suffixes(batch: pa.RecordBatch) -> Iterator[tuple]:
-        codes = batch.column(2).to_pylist()
+        codes, at = _flat(batch.column(2))
         k = 0
         for ids, data, ends in _texts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = codes[k : k + len(ids)]
+            own = at[k : k + len(ids) + 1]
             k += len(ids)
-            doc = np.repeat(np.arange(len(ids)), [len(c) for c in own])
-            code = np.concatenate([np.array(c, np.int64) for c in own])
+            doc, code = np.repeat(np.arange(len(ids)), np.diff(own)), codes.to_numpy()[own[0] : own[-1]]
             place, most, least = code >> 10, (code >> 5) & 31, code & 31
             start, end = place - most, place - least + LENGTH
             size = np.diff(ends, prepend=0)
@@ -459,13 +475,13 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc_id, text, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = np.frombuffer(text, np.uint8)
+            spans, cut = _flat(batch.column(2))
+            start, end = (spans.field(k).to_numpy() for k in (0, 1))
+            for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                data, own = np.frombuffer(text.as_buffer(), np.uint8), slice(cut[k], cut[k + 1])
                 edge = np.zeros(len(data) + 1, np.int32)
-                if spans:
-                    at = np.array([(min(s["start"], len(data)), min(s["end"], len(data))) for s in spans])
-                    np.add.at(edge, at[:, 0], 1)
-                    np.add.at(edge, at[:, 1], -1)
+                np.add.at(edge, np.minimum(start[own], len(data)), 1)
+                np.add.at(edge, np.minimum(end[own], len(data)), -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 n_spans = int(np.count_nonzero(np.diff(gone.view(np.int8), prepend=np.int8(0)) == 1))
                 out.append((doc_id, len(data), int(gone.sum()), n_spans, hashlib.sha256(data[~gone].tobytes()).hexdigest()))
