@@ -26,8 +26,10 @@ from .shared import components, dropped, mix, saved, word_hashes, word_spans
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-#: Counters of shingles; their ranks, a byte each, are all that is broadcast.
-COUNTERS = 1 << 20
+#: Counters of shingles; their ranks, a byte each, are broadcast.
+COUNTERS = 1 << 22
+#: Rows (of a few numbers each) up to which the smaller side of a join with token sets is broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 #: Vectors in which a task hands on its counters.
 SLICES = 64
 #: Nodes and shingles of a block, of which one task holds two at a time; larger groups are cut.
@@ -233,7 +235,7 @@ def nodes_of(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
 
     def one(state, ids, sets):
         made = []
-        counts, seen = state.setdefault("counts", np.zeros(COUNTERS, np.int64)), state.setdefault("seen", set())
+        counts, seen = state.setdefault("counts", np.zeros(COUNTERS, np.uint32)), state.setdefault("seen", set())
         for s in sets:
             made.append((len(s), set_id(s), bitmap(s)) if len(s) else (0, None, None))
             if len(s) and made[-1][1] not in seen:  # copies of a set in one task count once
@@ -242,7 +244,8 @@ def nodes_of(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
         return [ids, *(pa.array([m[i] for m in made], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))), pa.array([False] * len(ids))]
 
     def last(state):
-        slices = [x.tobytes() for x in state["counts"].reshape(SLICES, -1)]
+        # byte by byte, so that the high ones, mostly zero, take no room when compressed
+        slices = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes() for x in state["counts"].reshape(SLICES, -1)]
         none = pa.nulls(SLICES, pa.int64())
         return [none, none, pa.array(range(SLICES), pa.int64()), pa.array(slices, pa.binary()), pa.array([True] * SLICES)]
 
@@ -250,7 +253,7 @@ def nodes_of(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(x.as_buffer(), np.int64)
+                sums[k] = sums.get(k, np.int64(0)) + np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["k", "sums"])
 
     rows = saved(_mapped(docs, "doc_id bigint, n bigint, node bigint, bits binary, counter boolean", width, one, last), "sets")
@@ -314,7 +317,7 @@ def _tokens(docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
                 sets = [s for s in shingles(batch.column(1).slice(i, 500).to_pylist(), width) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "data"])
 
-    found = rows.mapInArrow(run, "node bigint, data binary").join(sets.select("node"), "node", "left_semi")
+    found = rows.mapInArrow(run, "node bigint, data binary").join(_small(sets.select("node")), "node", "left_semi")
     return saved(found.groupBy("node").agg(F.first("data").alias("data")), "tokens")
 
 
@@ -359,10 +362,15 @@ def _compared(rows: DataFrame, data: DataFrame, percent: int, exact: bool) -> Da
     def as_rows(links: list[tuple[int, int]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    rows = rows.join(data, "node").select("g", "i", "j", "side", "node", "n", "label", "data")
+    rows = data.join(_small(rows), "node").select("g", "i", "j", "side", "node", "n", "label", "data")
     return rows.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "side").mapInArrow(run, "a bigint, b bigint")
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """rows to be broadcast, if they are few."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def links_within(members: DataFrame, data: DataFrame, percent: int, exact: bool = True) -> DataFrame:
     """Links (a, b) of nodes within each group of members (g, node, n, label) that connect what all do; equal labels are connected already.
 

@@ -127,7 +127,11 @@ def in_several(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[tupl
         told = np.zeros(len(h), bool)
         told[at] = several[at]
         known = several & ~told
-        out = [(k % ranges, None, planes(doc[p]), planes(code[p])) for k, p in enumerate(np.array_split(np.flatnonzero(known), -(-int(known.sum()) // 100_000))) if len(p)] if known.any() else []
+        known_doc, known_code = doc[known], code[known]
+        out = []
+        for k in range(0, len(known_doc), 20_000):  # to any range, as they need no other
+            p = slice(k, k + 20_000)
+            out.append((hash((int(known_doc[k]), k)) % ranges, None, planes(known_doc[p]), planes(known_code[p])))
         h, doc, code = h[~known], doc[~known], 2 * code[~known] + told[~known]
         cuts = [0, *np.searchsorted(h, np.array([-(-(k << BITS) // ranges) for k in range(1, ranges)], np.uint64)).tolist(), len(h)]
         for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
@@ -313,9 +317,9 @@ def sorted_and_merged(rows: DataFrame, suffixes: Callable[[pa.RecordBatch], Iter
         out = []
         if not first.all():
             d, s, e = unions(doc[~first], start[~first], end[~first])
-            for k in range(0, len(d), 100_000):
-                p = slice(k, k + 100_000)
-                out.append((int(d[k]) % (len(bounds) + 1), None, None, planes(d[p]), planes(s[p]), planes(e[p])))
+            for k in range(0, len(d), 20_000):
+                p = slice(k, k + 20_000)
+                out.append((hash((int(d[k]), k)) % (len(bounds) + 1), None, None, planes(d[p]), planes(s[p]), planes(e[p])))
         x, doc, start, end = x[first], doc[first], start[first], end[first]
         of_range = np.searchsorted(bounds, np.ascontiguousarray(x[:, :16]).view("S16").ravel(), side="right")
         cuts = [0, *np.flatnonzero(np.diff(of_range)) + 1, len(x)]
