@@ -35,6 +35,7 @@ WIDTH = LENGTH + REACH + 2
 BATCH, RUN_HASHES, RUN = 1 << 19, 1_000_000, 150_000
 #: Bits of hashes that are exchanged; equal ones by chance only add candidates.
 BITS = 48
+SALT = np.uint64(0xA5A5F00D)
 _PLACE = np.uint64((1 << 24) - 1)
 #: Windows looked at together, fewer than _PLACE can number.
 _PIECE = 1 << 23
@@ -197,7 +198,8 @@ def shared_anchors(docs: DataFrame, ranges: int) -> DataFrame:
         for ids, data, ends in _texts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             a, g, first, last = anchors(data, ends)
             doc = np.searchsorted(ends, a, side="right")
-            yield g, ids[doc], ((a - (ends[doc] - np.diff(ends, prepend=0)[doc])) << 10) | ((a - first) << 5) | (a - last)
+            # anchors have small hashes, so they are mixed anew to fill all ranges alike
+            yield mix(g + SALT), ids[doc], ((a - (ends[doc] - np.diff(ends, prepend=0)[doc])) << 10) | ((a - first) << 5) | (a - last)
 
     return in_several(docs.select("doc_id", F.col("text").cast("binary")), hashes, ranges)
 
