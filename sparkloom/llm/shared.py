@@ -27,15 +27,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores added until no column of df has it, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 @contextmanager
 def tidy(spark: SparkSession):
-    """Shuffle files of the queries that run within it go as each ends, not when the driver collects its garbage."""
-    before = spark.conf.get(TIDY)
-    spark.conf.set(TIDY, "true")
+    """Shuffle files of the queries that run within it go as each ends, not when the driver collects its garbage, and Arrow batches are small, so that tasks hold little."""
+    own = {TIDY: "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(TIDY, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

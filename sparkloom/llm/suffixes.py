@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ REACH = LENGTH - GRAM
 #: Bytes of a suffix in the first merge: the text, its length and the anchor's place in it.
 WIDTH = LENGTH + REACH + 2
 #: Bytes of text that are looked at together, anchors of a run of hashes, suffixes of a sorted run.
-BATCH, RUN_HASHES, RUN = 1 << 19, 1_000_000, 150_000
+BATCH, RUN_HASHES, RUN = 1 << 19, 1_000_000, 100_000
 #: Bits of hashes that are exchanged; equal ones by chance only add candidates.
 BITS = 48
 SALT = np.uint64(0xA5A5F00D)
@@ -302,32 +303,34 @@ def bounds_of(docs: DataFrame, ranges: int) -> np.ndarray:
     return np.array(cuts, "S16")
 
 
-def sorted_and_merged(rows: DataFrame, suffixes: Callable[[pa.RecordBatch], Iterator[tuple]], width: int, bounds: np.ndarray, schema: str, of_first: Callable) -> DataFrame:
+def sorted_and_merged(rows: DataFrame, suffixes: Callable[[pa.RecordBatch], Iterator[tuple]], width: int, sizes: Callable, bounds: np.ndarray, schema: str, of_first: Callable) -> DataFrame:
     """Rows of schema: spans (doc_id, start, end) of the suffixes that also stand in a smaller document, and what of_first makes of all the others.
 
-    suffixes makes of a batch of rows (bytes as rows of a width, doc_ids, starts, ends); of_first
-    takes those. Tasks sort runs of RUN suffixes or more; of equal ones of a run only the smallest
+    suffixes makes of a batch of rows (bytes as rows of a width, doc_ids, starts), sizes of such
+    bytes how long each text is; of_first takes the spans and (bytes, doc_ids, starts, ends). Tasks
+    sort runs of RUN suffixes or more; of equal ones of a run only the smallest
     document's go on, and the spans of the rest are known.
     """
 
     def coded(parts: list[tuple]) -> pa.RecordBatch:
-        x, doc, start, end = (np.concatenate(v) for v in zip(*parts, strict=True))
+        x, doc, start = (np.concatenate(v) for v in zip(*parts, strict=True))
         order = np.argsort(np.ascontiguousarray(x).view(f"S{width}").ravel(), kind="stable")
-        x, doc, start, end = x[order], doc[order], start[order], end[order]
+        x, doc, start = x[order], doc[order], start[order]
         at = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]).any(axis=1)]))
         first = doc == np.repeat(np.minimum.reduceat(doc, at), np.diff(np.append(at, len(doc))))
         out = []
         if not first.all():
-            d, s, e = unions(doc[~first], start[~first], end[~first])
+            d, s, e = unions(doc[~first], start[~first], start[~first] + sizes(x[~first]))
             for k in range(0, len(d), 20_000):
                 p = slice(k, k + 20_000)
                 out.append((hash((int(d[k]), k)) % (len(bounds) + 1), None, None, planes(d[p]), planes(s[p]), planes(e[p])))
-        x, doc, start, end = x[first], doc[first], start[first], end[first]
+        x, doc, start = x[first], doc[first], start[first]
+        compressor = zstandard.ZstdCompressor(level=1)
         of_range = np.searchsorted(bounds, np.ascontiguousarray(x[:, :16]).view("S16").ravel(), side="right")
         cuts = [0, *np.flatnonzero(np.diff(of_range)) + 1, len(x)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             same, rest = front_coded(x[a:b])
-            out.append((int(of_range[a]), same.tobytes(), rest.tobytes(), planes(doc[a:b]), planes(start[a:b]), planes(end[a:b])))
+            out.append((int(of_range[a]), same.tobytes(), compressor.compress(rest.tobytes()), planes(doc[a:b]), planes(start[a:b]), None))
         return _batch(list(zip(*out, strict=True)), SUFFIXES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,24 +348,25 @@ def sorted_and_merged(rows: DataFrame, suffixes: Callable[[pa.RecordBatch], Iter
 
     def merge(table: pa.Table) -> pa.Table:
         spans, held, rows = [], [], []
-        for same, rest, *places in _buffers(table, "shared", "rest", "docs", "starts", "ends"):
-            places = [unplanes(p) for p in places]
+        for same, rest, doc, start, end in _buffers(table, "shared", "rest", "docs", "starts", "ends"):
             if same is None:
-                spans.append(places)
+                spans.append([unplanes(v) for v in (doc, start, end)])
                 continue
             same = np.frombuffer(same, np.uint8)
-            x = decoded(same.astype(np.int64), np.frombuffer(rest, np.uint8), width)
+            x = decoded(same.astype(np.int64), np.frombuffer(zstandard.ZstdDecompressor().decompress(rest), np.uint8), width)
             data = x.tobytes()
             rows.append((same.tolist(), [data[i : i + width] for i in range(0, len(data), width)]))
-            held.append((x, *places))
+            held.append((x, unplanes(doc), unplanes(start)))
         others = None
         if held:
             order, shared = merged(rows, width)
-            x, doc, start, end = (np.concatenate(v)[order] for v in zip(*held, strict=True))
+            x, doc, start = (np.concatenate(v)[order] for v in zip(*held, strict=True))
+            end = start + sizes(x)
             at = np.flatnonzero(np.array(shared) < width)
             first = doc == np.repeat(np.minimum.reduceat(doc, at), np.diff(np.append(at, len(doc))))
             spans.append([v[~first] for v in (doc, start, end)])
             others = [v[first] for v in (x, doc, start, end)]
+        pa.default_memory_pool().release_unused()
         return of_first(unions(*(np.concatenate(v) for v in zip(*spans, strict=True))) if spans else [np.zeros(0, np.int64)] * 3, others)
 
     return rows.mapInArrow(run, SUFFIXES).groupBy("r").applyInArrow(merge, schema)
@@ -395,7 +399,7 @@ def _surroundings(texts: DataFrame, bounds: np.ndarray) -> DataFrame:
             x[:, :-2] = padded[begin[:, None] + np.arange(WIDTH - 2)]
             x[:, :-2][np.arange(WIDTH - 2) >= (end - start)[:, None]] = 0
             x[:, -2], x[:, -1] = end - start, most + 1
-            yield x, ids[doc], start, end
+            yield x, ids[doc], start
 
     def of_first(spans, others) -> pa.Table:
         doc, start, end = spans
@@ -410,7 +414,7 @@ def _surroundings(texts: DataFrame, bounds: np.ndarray) -> DataFrame:
             data = pa.concat_arrays([data, pa.array([row.tobytes() for row in x], pa.binary())])
         return pa.table([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), gram, data], names=[f.split()[0] for f in CLASSES.split(", ")])
 
-    return sorted_and_merged(texts, suffixes, WIDTH, bounds, CLASSES, of_first)
+    return sorted_and_merged(texts, suffixes, WIDTH, lambda x: x[:, -2].astype(np.int64), bounds, CLASSES, of_first)
 
 
 def _windows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -441,13 +445,12 @@ def _strings(several: DataFrame, bounds: np.ndarray, ranges: int) -> DataFrame:
             x, row, doc, place = _windows(part)
             wanted = (part.column(3).to_numpy()[row] >> place) & 1 == 1
             row, doc, place = row[wanted], doc[wanted], place[wanted]
-            start = part.column(1).to_numpy()[row] + place
-            yield x[row[:, None], place[:, None] + np.arange(LENGTH)], doc, start, start + LENGTH
+            yield x[row[:, None], place[:, None] + np.arange(LENGTH)], doc, part.column(1).to_numpy()[row] + place
 
     def of_first(spans, others) -> pa.Table:
         return pa.table([pa.array(v, pa.int64()) for v in spans], names=["doc_id", "start", "end"])
 
-    return sorted_and_merged(rows.select("doc_id", "start", "data", "places"), suffixes, LENGTH, bounds, SPANS, of_first)
+    return sorted_and_merged(rows.select("doc_id", "start", "data", "places"), suffixes, LENGTH, lambda x: LENGTH, bounds, SPANS, of_first)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -457,14 +460,14 @@ def removal(docs: DataFrame) -> DataFrame:
     """(doc_id, text, spans): spans, an array of (start, end), of bytes covered by strings that also start in a smaller document; null if none. Jobs run when this is called."""
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = bounds_of(docs, ranges)
-    found = saved(shared_anchors(docs, ranges), "anchors")
-    places = found.groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
+    bounds = bounds_of(docs, 2 * ranges)
+    places = shared_anchors(docs, ranges).groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
     classes = saved(_surroundings(docs.join(places, "doc_id").select("doc_id", F.col("text").cast("binary"), "codes"), bounds), "classes")
-    dropped(found)
     firsts = classes.where("data IS NOT NULL")
     several = firsts.groupBy("gram").agg(F.min(F.xxhash64("data")).alias("lo"), F.max(F.xxhash64("data")).alias("hi")).where("lo != hi").select("gram")
-    strings = saved(_strings(saved(firsts.join(several, "gram").select("doc_id", "start", "data"), "several"), bounds, ranges), "strings")
+    several = saved(firsts.join(several, "gram").select("doc_id", "start", "data"), "several")
+    strings = saved(_strings(several, bounds, ranges), "strings")
+    dropped(several)
     spans = classes.where("data IS NULL").select("doc_id", "start", "end").union(strings)
     return docs.join(spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "doc_id", "left")
 

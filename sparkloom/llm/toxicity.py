@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import dropped, saved, word_hashes, word_spans
+from .shared import dropped, free_name, saved, word_hashes, word_spans
 
 IS_WORD = np.zeros(256, bool)
 IS_WORD[0x30:0x3A] = IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
@@ -215,8 +215,6 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """docs without those that score threshold or more; the model is fitted on all labelled rows. Empty and null texts have the score of a text without words; repeated rows stay or go together, and all columns stay as they are."""
-    column = "score"
-    while column.lower() in {c.lower() for c in docs.columns}:
-        column += "_"
+    column = free_name(docs, "score")
     scored = score(docs, fit(docs, labels), column=column)
     return scored.where(F.col(column) < threshold).select(*[scored[c] for c in docs.columns])
