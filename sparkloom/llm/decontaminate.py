@@ -1,9 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Passages of all documents are TF-IDF vectors over hashed words; a randomised SVD, whose sums are
-made in distributed passes, gives a space in which passages near a benchmark item are found by
+made in one distributed pass, gives a space in which passages near a benchmark item are found by
 cosine. Candidates are then checked word by word: the longest common subsequence with the item and
-the presence of its rarest words, its answer, so that paraphrases with changed words are caught.
+the presence of some of its rarest words, which stand for its answer, so that paraphrases with
+changed words are caught. Items too short for a passage's vector, and those of common words, are
+found by their rarest words instead.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved, word_hashes, word_spans
+from .shared import free_name, saved, word_hashes, word_spans
 
 IS_WORD = np.zeros(256, bool)
 IS_WORD[0x30:0x3A] = IS_WORD[0x61:0x7B] = IS_WORD[0x80:] = True
@@ -27,9 +29,11 @@ BLOCK = 16
 #: A feature with a larger share of all words says nothing.
 COMMON = 1 / 300
 #: Least cosine of a candidate, share of the shorter side's telling words that both must have, of an item's words in the common subsequence, and of its rarest words.
-COSINE, SHARED, SUBSEQUENCE, ANSWER, ANSWER_WORDS = 0.45, 0.5, 0.65, 0.6, 5
+COSINE, SHARED, SUBSEQUENCE, ANSWER, ANSWER_WORDS = 0.35, 0.4, 0.65, 0.4, 5
 #: An item with a smaller share of telling words is found by the words themselves.
 LEAST_TELLING = 0.25
+#: An item of fewer words than that must be there whole: a paraphrase of it can't be told from other text.
+LEAST_WORDS = 8
 #: Items are held in every task, so no more at a time.
 MOST_ITEMS = 20_000
 
@@ -92,13 +96,16 @@ def inverse_frequency(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def latent_space(docs: DataFrame, weight: np.ndarray, seed: int = 5) -> np.ndarray:
-    """Weighted word vectors: an orthonormal basis of the range of A'A times a random matrix, A being all blocks by features.
+    """Weighted word vectors: the right singular vectors of A, all blocks by weighted features, by a randomised SVD.
 
-    Each task adds up its part of that product; rows (feature, sums) are added by a grouped sum,
-    and as many numbers as features by dimensions reach the driver.
+    Each task adds up its part of Z = A'A R, R being random; rows (feature, sums) are added by a
+    grouped sum, and as many numbers as features by dimensions reach the driver. As A'A is positive,
+    Z (R'Z)^-1 Z' comes near it (Nystroem's way), and the singular vectors of its root Z L^-T, LL'
+    being R'Z, are A's, with A's singular values squared; the RANK largest are taken.
     """
     width = RANK + OVERSAMPLE
-    sketch = np.random.default_rng(seed).standard_normal((FEATURES + 1, width)).astype(np.float32) * np.append(weight, 0)[:, None]
+    random = np.random.default_rng(seed).standard_normal((FEATURES, width))
+    sketch = np.vstack([random * weight[:, None], np.zeros((1, width))]).astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((FEATURES, width))
@@ -122,7 +129,13 @@ def latent_space(docs: DataFrame, weight: np.ndarray, seed: int = 5) -> np.ndarr
     z = np.zeros((FEATURES, width))
     for r in rows.groupBy("feature").agg(*[F.sum(n).alias(n) for n in names]).collect():
         z[r["feature"]] = r[1:]
-    u, _, _ = np.linalg.svd(z * weight[:, None], full_matrices=False)
+    z *= weight[:, None]
+    shift = 1e-6 * max(float(np.linalg.norm(z)), 1e-9)  # keeps the factor away from singular
+    z += shift * random
+    inner = random.T @ z
+    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+    root = z @ (vectors / np.sqrt(np.maximum(values, 1e-6 * max(float(values[-1]), 1e-30))))
+    u, _, _ = np.linalg.svd(root, full_matrices=False)
     return np.vstack([u[:, :RANK] * weight[:, None], np.zeros((1, RANK))]).astype(np.float32)
 
 
@@ -138,7 +151,7 @@ def common_subsequence(item: dict[int, int], words: list[int]) -> int:
 class Items:
     """Benchmark items with their vectors; an item longer than a passage has several.
 
-    An item of few telling words has no vector that finds it; its rarest words are looked up.
+    A short item or one of few telling words has no vector that finds it; its rarest words are looked up.
     """
 
     def __init__(self, items: list[tuple[int, str]], weight: np.ndarray, space: np.ndarray, rarity: np.ndarray):
@@ -165,15 +178,15 @@ class Items:
         v = np.array(vectors, np.float32).reshape(-1, RANK)
         self.vectors = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-9)
         self.of = np.array(self.of, np.int64)
-        few = [n for n, w in enumerate(self.words) if np.count_nonzero(weight[features(w)]) < LEAST_TELLING * len(w)]
+        few = [n for n, w in enumerate(self.words) if len(w) < BLOCK or np.count_nonzero(weight[features(w)]) < LEAST_TELLING * len(w)]
         pairs = sorted((x, n) for n in few for x in self.rare[n])
-        #: The rarest words of items of few telling words, in order, and the item of each.
+        #: The rarest words of such items, in order, and the item of each.
         self.rare_words = np.array([x for x, _ in pairs], np.uint64)
         self.rare_of = np.array([n for _, n in pairs], np.int64)
 
 
 def by_words(words: np.ndarray, cuts: np.ndarray, text: np.ndarray, begin: np.ndarray, ends: np.ndarray, items: Items) -> list[tuple[int, int]]:
-    """(passage, item) for items of few telling words: texts that hold enough of an item's rarest words, and there the passages of which enough words are the item's."""
+    """(passage, item) for short items and those of few telling words: texts that hold enough of an item's rarest words, and there the passages of which enough words are the item's."""
     lo, hi = (np.searchsorted(items.rare_words, words, side) for side in ("left", "right"))
     hit = np.flatnonzero(hi > lo)
     n = (hi - lo)[hit]
@@ -243,7 +256,7 @@ def find(words: np.ndarray, cuts: np.ndarray, weight: np.ndarray, space: np.ndar
                 best, where = length, s
         share = best / size
         key = (int(text[w]), n)
-        if share >= SUBSEQUENCE and share > out.get(key, (0.0, 0))[0]:
+        if share >= (SUBSEQUENCE if size >= LEAST_WORDS else 1) and share > out.get(key, (0.0, 0))[0]:
             out[key] = (share, int(lo + where - cuts[text[w]]))
     return [(t, items.ids[n], share, at) for (t, n), (share, at) in out.items()]
 
@@ -289,9 +302,10 @@ def _leaks(docs: DataFrame, items: Items, weight: np.ndarray, space: np.ndarray,
 
 
 def kept(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without those that hold a benchmark item."""
-    found = leaks(docs, benchmark, "__leaks")
-    return found.where(F.size("__leaks") == 0).select(*[found[c] for c in docs.columns])
+    """docs without those that hold a benchmark item, with all their columns. Null and empty texts stay; repeated rows stay or go together."""
+    column = free_name(docs, "leaks")
+    found = leaks(docs, benchmark, column)
+    return found.where(F.size(column) == 0).select(*[found[c] for c in docs.columns])
 
 
 def reported(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
