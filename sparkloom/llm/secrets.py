@@ -13,6 +13,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import free_name
+
 #: Long runs of the letters that keys and tokens are made of.
 CANDIDATE = r"[A-Za-z0-9+/_=~.\-]{16,}"
 MARK = "\x01"
@@ -140,46 +142,60 @@ def fit(findings: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int =
     return Forest(model.toDebugString)
 
 
-def scan(docs: DataFrame, forest: Forest, path: str | None = None, text: str = "text", column: str = "candidates") -> DataFrame:
-    """docs with an array of (candidate, start, score), start in characters from 1, of every candidate in the whole text; empty for a null text."""
-    parts = F.split(F.regexp_replace(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), MARK, " "), f"({CANDIDATE})", f"{MARK}$1{MARK}"), MARK)
-    rows = docs.withColumn("__parts", parts)
-    where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
-    part = lambda k: F.element_at("__parts", k)
+def _parts(text: str) -> Column:
+    """The text split at candidates, which stand at even places."""
+    return F.split(F.regexp_replace(F.translate(F.coalesce(F.col(text).cast("string"), F.lit("")), MARK, " "), f"({CANDIDATE})", f"{MARK}$1{MARK}"), MARK)
+
+
+def _judged(parts: Column, forest: Forest, where: Column) -> Column:
+    """Of each candidate among parts: candidate, place and score."""
+    part = lambda k: F.element_at(parts, k)
 
     def one(k: Column) -> Column:
-        candidate, before, after = part(k), F.substring(part(k - 1), F.greatest(F.length(part(k - 1)) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT)), F.substring(part(k + 1), 1, CONTEXT)
-        values = features(candidate, before, after, where)
-        struct = F.struct(candidate.alias("candidate"), k.alias("place"), *[values[f].alias(f) for f in FEATURES])
-        return struct
+        before, after = F.substring(part(k - 1), F.greatest(F.length(part(k - 1)) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT)), F.substring(part(k + 1), 1, CONTEXT)
+        values = features(part(k), before, after, where)
+        return F.struct(part(k).alias("candidate"), k.alias("place"), *[values[f].alias(f) for f in FEATURES])
 
-    # candidates stand at even places
-    places = F.when(F.size("__parts") > 1, F.sequence(F.lit(2), F.size("__parts") - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
-    rows = rows.withColumn("__found", F.transform(places, one))
-    score = lambda x: F.struct(x["candidate"].alias("candidate"), x["place"].alias("place"), forest.votes([x[f] for f in FEATURES]).alias("score"))
-    return rows.withColumn(column, F.transform("__found", score)).drop("__found")
+    places = F.when(F.size(parts) > 1, F.sequence(F.lit(2), F.size(parts) - 1, F.lit(2))).otherwise(F.array().cast("array<int>"))
+    return F.transform(F.transform(places, one), lambda x: F.struct(x["candidate"].alias("candidate"), x["place"].alias("place"), forest.votes([x[f] for f in FEATURES]).alias("score")))
+
+
+def scan(docs: DataFrame, forest: Forest, path: str | None = None, text: str = "text", column: str = "candidates", parts: str | None = None) -> DataFrame:
+    """docs with an array of (candidate, place, score) of every candidate in the whole text, in a column (replaced if there); empty for a null text. parts: a column for the pieces of the text between which places count."""
+    where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
+    pieces = parts or free_name(docs, "parts")
+    rows = docs.withColumn(pieces, _parts(text))
+    rows = rows.withColumn(column, _judged(F.col(pieces), forest, where))
+    return rows if parts else rows.drop(pieces)
 
 
 def findings(docs: DataFrame, forest: Forest, path: str | None = None, text: str = "text") -> DataFrame:
-    """docs with n_candidates and secrets, an array of (start, secret, score): the candidates for which enough trees vote. start counts characters from 1."""
-    rows = scan(docs, forest, path, text, "__candidates")
-    start = lambda x: (1 + F.aggregate(F.slice("__parts", F.lit(1), x["place"] - 1), F.lit(0), lambda a, p: a + F.length(p))).cast("bigint")
-    secrets = F.transform(F.filter("__candidates", lambda x: x["score"] >= VOTES), lambda x: F.struct(start(x).alias("start"), x["candidate"].alias("secret"), x["score"].alias("score")))
-    return rows.withColumns({"n_candidates": F.size("__candidates").cast("bigint"), "secrets": secrets}).drop("__parts", "__candidates")
+    """docs with n_candidates and secrets, an array of (start, secret, score): the candidates for which enough trees vote. start counts characters from 1; columns of these names are replaced."""
+    parts, candidates = free_name(docs, "parts"), free_name(docs, "candidates")
+    rows = scan(docs, forest, path, text, candidates, parts)
+    # where each piece begins: a running sum, made once for a text
+    begins = F.aggregate(parts, F.array(F.lit(1).cast("bigint")), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.length(p))))
+    found = F.filter(candidates, lambda x: x["score"] >= VOTES)
+    begin = free_name(rows, "begins")
+    rows = rows.withColumn(begin, F.when(F.size(found) > 0, begins))
+    secrets = F.transform(found, lambda x: F.struct(F.element_at(begin, x["place"]).alias("start"), x["candidate"].alias("secret"), x["score"].alias("score")))
+    return rows.withColumns({"n_candidates": F.size(candidates).cast("bigint"), "secrets": secrets}).drop(parts, candidates, begin)
 
 
 def redacted(docs: DataFrame, forest: Forest, path: str | None = None, mask: str = "[SECRET]") -> DataFrame:
     """docs with each secret of the text replaced by a mask, and n_chars, where there is such a column, counted anew.
 
-    Texts without secrets stay as they are; in others, characters U+0001 become blanks.
+    Texts without secrets stay as they are, null and empty ones too; in others, characters U+0001
+    become blanks. Repeated rows and all other columns stay.
     """
-    rows = scan(docs, forest, path, "text", "__candidates")
-    bad = F.transform(F.filter("__candidates", lambda x: x["score"] >= VOTES), lambda x: x["place"])
-    rows = rows.withColumn("__bad", bad)
-    clean = F.array_join(F.transform("__parts", lambda p, i: F.when(F.array_contains("__bad", i + 1), F.lit(mask)).otherwise(p)), "")
-    rows = rows.withColumn("text", F.when(F.size("__bad") > 0, clean).otherwise(F.col("text")))
+    parts, candidates = free_name(docs, "parts"), free_name(docs, "candidates")
+    rows = scan(docs, forest, path, "text", candidates, parts)
+    bad = free_name(rows, "bad")
+    rows = rows.withColumn(bad, F.transform(F.filter(candidates, lambda x: x["score"] >= VOTES), lambda x: x["place"]))
+    clean = F.array_join(F.transform(parts, lambda p, i: F.when(F.array_contains(bad, i + 1), F.lit(mask)).otherwise(p)), "")
+    rows = rows.withColumn("text", F.when(F.size(bad) > 0, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.size("__bad") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        rows = rows.withColumn("n_chars", F.when(F.size(bad) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return rows.select(*docs.columns)
 
 
