@@ -10,11 +10,20 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from sparkloom.llm import bpe, chat, decontaminate, fingerprints, jaccard, licenses, secrets, shared, suffixes, toxicity, warc
+from sparkloom.llm import bpe, chat, decontaminate, fingerprints, jaccard, licenses, queries, secrets, shared, suffixes, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_its_sql(spark, oracle, name):
+    got = queries.queries()[name](spark, SF)
+    want = oracle.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(str, want.fetchall())) == sorted(str(tuple(r)) for r in got.select(names).collect())
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
@@ -206,6 +215,35 @@ def test_decontaminate_passages_that_many_rows_hold(spark):
     assert got == {i: "1" if i < 200 and i % 10 else "" for i, _ in rows}
 
 
+def test_decontamination_recall(spark, docs):
+    """Short items, and items of which a fifth or three tenths of the words are changed, dropped or moved, among prose; documents without one stay clean."""
+    rng = random.Random(17)
+    prose = [w for r in docs.collect() for w in re.findall(r"\w+", r["text"] or "")]
+    some = lambda n: prose[(k := rng.randrange(len(prose) - n)) : k + n]
+    kinds = {"short": 4, "nine": 9, "verbatim": 30, "changed 0.2": 30, "changed 0.3": 30, "dropped 0.2": 30, "moved 0.2": 30}
+    items, rows = [], []
+    for kind, size in kinds.items():
+        for _ in range(60):
+            w = some(size)
+            items.append((len(items), " ".join(w)))
+            share = float(kind.split()[1]) if " " in kind else 0
+            for k in rng.sample(range(size), int(share * size)):
+                if kind.startswith("changed"):
+                    w[k] = rng.choice(prose)
+                elif kind.startswith("dropped"):
+                    w[k] = ""
+                elif kind.startswith("moved") and rng.random() < 0.5:
+                    w.insert(rng.randrange(size), w.pop(k))
+            rows.append((items[-1][0], " ".join([*some(rng.randrange(20, 150)), *w, *some(rng.randrange(20, 150))])))
+    rows += [(10_000 + i, " ".join(rng.sample(prose, 200))) for i in range(100)]
+    found = decontaminate.reported(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    got = {r["doc_id"]: r["item_ids"].split(",") for r in found}
+    for n, kind in enumerate(kinds):
+        hits = [str(i) in got[i] for i in range(60 * n, 60 * n + 60)]
+        assert sum(hits) >= 0.9 * len(hits), (kind, sum(hits))
+    assert sum(got[10_000 + i] != [""] for i in range(100)) <= 2
+
+
 def test_decontaminate_items_in_blocks(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     flat = lambda df: sorted((r["doc_id"], sorted(map(tuple, r["leaks"]))) for r in df.collect())
@@ -523,3 +561,49 @@ def test_pipeline(spark):
     assert len(set(texts)) == len(texts)
     own = bpe.tokenizer(bpe.default_vocabulary())
     assert all(r["n_tokens"] == len(own.encode([r["text"] or ""])[0]) // 4 for r in rows[:20])
+
+
+def test_pipeline_stages_on_odd_rows(spark, edge, none, tmp_path):
+    """Nulls, empty texts, repeated rows, a very long text, columns with clashing names, and tables without rows."""
+    import corpus_pipeline
+
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    clashing = edge.withColumns({c: F.lit(c) for c in ("leaks", "score", "__parts", "__found", "copy_id", "node", "__copy", "SECRETS")})
+    for docs in (edge, clashing, none):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns, name
+            left = collections.Counter(str(tuple(r)) for r in out.collect())
+            if name == "near_duplicates":
+                assert sorted(r["doc_id"] or 0 for r in out.collect()) == ([0, 1, 3, 4, 5, 6, 8, 9] if docs is not none else [])
+            else:  # these rows are clean: none goes and none is changed
+                assert left == collections.Counter(str(tuple(r)) for r in docs.collect()), name
+        out = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert set(docs.columns) < set(out.columns) and out.count() == docs.count()
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").where("false").write.parquet(f"{tmp_path}/none/{name}.parquet")
+    for name, stage in corpus_pipeline.STAGES[:3:2]:
+        assert stage(spark, edge, f"{tmp_path}/none").count() == edge.count(), name
+
+
+def test_pipeline_decisions_take_effect(spark, tmp_path):
+    """What each stage decides holds for what it is given: toxic texts, all but the first of near copies, leaks and secrets go, and nothing else does."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sf = "/root/testdata/sf0.01"
+    stages = dict(corpus_pipeline.STAGES)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))).collect()}
+    assert {r["doc_id"] for r in stages["toxicity"](spark, docs, sf).collect()} == {i for i, s in scores.items() if s < 0.5}
+    components = brute_components(sets_of(rows, 5), 80)
+    assert {r["doc_id"] for r in stages["near_duplicates"](spark, docs, sf).collect()} == {i for i, c in components.items() if i == c}
+    items = [r["text"] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    clean = {r["doc_id"] for r in stages["decontamination"](spark, docs, sf).collect()}
+    holders = {i for i, t in rows if any(x in t for x in items)}
+    assert not clean & holders and len(clean) >= 0.99 * (len(rows) - len(holders))
+    texts = {r["doc_id"]: r["text"] for r in stages["secrets"](spark, docs, sf).collect()}
+    planted = {i: re.findall(r'token = "([0-9a-f]{40})"', t) for i, t in rows}
+    assert not any(x in texts[i] for i, found in planted.items() for x in found)
+    assert sum(texts[i] == t for i, t in rows if not planted[i]) >= 0.99 * sum(not found for found in planted.values())
