@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 
 
 def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, value: str, bucket: str | None = None) -> DataFrame:
-    """left with the right side's last value at or before its own time, null if there is none.
+    """left with the value of the right side's last row at or before its own time, null if there is none or that value is null.
 
     Both sides are put in one order per key and the value is carried forward by a running window:
     one shuffle on the key, no pairs. With bucket (a date_trunc unit such as 'day') a key's rows
     are dealt out by time as well, and the last value of earlier buckets is carried over through a
     table of one row per key and bucket; use it where one key holds a large share of all rows.
     """
-    a = left.select(*left.columns, F.lit(None).cast(right.schema[value].dataType).alias("__v"), F.lit(1).alias("__side"))
-    b = right.select(*by, time, F.col(value).alias("__v"), F.lit(0).alias("__side"))
+    # values in a struct, so that a row with a null value differs from no row
+    b = right.select(*by, time, F.struct(F.col(value).alias("x")).alias("__v"), F.lit(0).alias("__side"))
+    a = left.select(*left.columns, F.lit(None).cast(b.schema["__v"].dataType).alias("__v"), F.lit(1).alias("__side"))
     rows = a.unionByName(b, allowMissingColumns=True)
     if bucket is None:
         run = Window.partitionBy(*by).orderBy(time, "__side").rowsBetween(Window.unboundedPreceding, 0)
-        return rows.withColumn(value, F.last("__v", ignorenulls=True).over(run)).where("__side = 1").select(*left.columns, value)
+        return rows.withColumn("__in", F.last("__v", ignorenulls=True).over(run)).where("__side = 1").select(*left.columns, F.col("__in.x").alias(value))
     rows = rows.withColumn("__b", F.date_trunc(bucket, F.col(time)))
     run = Window.partitionBy(*by, "__b").orderBy(time, "__side").rowsBetween(Window.unboundedPreceding, 0)
     inner = rows.withColumn("__in", F.last("__v", ignorenulls=True).over(run)).where("__side = 1")
@@ -30,7 +31,7 @@ def asof(left: DataFrame, right: DataFrame, by: list[str], time: str, value: str
     same = F.col("__b").eqNullSafe(F.col("__kb"))
     for c in by:
         same = same & F.col(c).eqNullSafe(F.col(f"__k_{c}"))
-    return inner.join(keyed, same, "left").select(*left.columns, F.coalesce("__in", "__before").alias(value))
+    return inner.join(keyed, same, "left").select(*left.columns, F.coalesce("__in", "__before")["x"].alias(value))
 
 
 def in_range(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, width: float) -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import kernels, relational, tpch
+from . import kernels, relational, tpch, values
 
-_MODULES = (tpch, kernels, relational)
+_MODULES = (tpch, kernels, relational, values)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -59,7 +59,7 @@ def join_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     left = e.where("event_type = 'click'").select("event_id", "user_id", "ts")
     right = e.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max("value").alias("last_purchase"))
-    return joins.asof(left, right, ["user_id"], "ts", "last_purchase", bucket="day").select("event_id", "last_purchase")
+    return joins.asof(left, right, ["user_id"], "ts", "last_purchase").select("event_id", "last_purchase")
 
 
 @query("SELECT p_partkey, lo FROM part, (SELECT DISTINCT CAST(p_size AS BIGINT) * 20 + 900 AS lo FROM part) r WHERE p_retailprice >= lo AND p_retailprice < lo + 3")

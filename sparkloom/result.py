@@ -12,6 +12,7 @@ from typing import Any
 import pyarrow as pa
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 class ResultError(Exception):
@@ -72,11 +73,22 @@ def decode(value: Any, kind: Any, where: str = "value") -> Any:
     return value
 
 
+def _plain(value: Any) -> Any:
+    """Rows within a value as dictionaries, maps as pairs."""
+    if isinstance(value, Row):
+        return {k: _plain(v) for k, v in value.asDict().items()}
+    if isinstance(value, dict):
+        return [(_plain(k), _plain(v)) for k, v in value.items()]
+    return [_plain(v) for v in value] if isinstance(value, list) else value
+
+
 class Result:
     """A query's rows, fetched forward by one shared cursor; the DataFrame stays lazy until then."""
 
     def __init__(self, df: DataFrame, statement_type: str = "select"):
         self.df, self.statement_type, self._rows = df, statement_type, None
+        #: Rows that an INSERT has added; 0 for other statements.
+        self.rows_changed = 0
 
     @property
     def columns(self) -> list[str]:
@@ -110,6 +122,12 @@ class Result:
             out.append(row)
         return out
 
+    def chunks(self, size: int = 2048) -> Iterator[pa.RecordBatch]:
+        """The rows not fetched yet as Arrow batches of at most size rows, partition by partition, never all at once."""
+        schema = to_arrow_schema(self.df.schema)
+        while rows := self.fetchmany(size):
+            yield pa.RecordBatch.from_arrays([pa.array([_plain(r[i]) for r in rows], f.type) for i, f in enumerate(schema)], schema=pa.schema([f.with_nullable(True) for f in schema]))
+
     def fetchall(self) -> Materialized:
         with translated():
             return Materialized(self.df.toArrow())

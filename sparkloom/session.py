@@ -14,8 +14,13 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from .result import Result, translated
+from .sources.appender import Appender
 
-_WRITES = re.compile(r"(?is)^\s*(insert|update|delete|merge|create|drop|alter|truncate|load|refresh|msck|repair)\b")
+_WRITES = ("insert", "update", "delete", "merge", "create", "drop", "alter", "truncate", "load", "refresh", "msck", "repair")
+#: Strings, quoted names and comments, which hold no words or parameters of the statement.
+_QUOTED = re.compile(r"(?s)'(?:[^'\\]|''|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`|--[^\n]*|/\*.*?\*/")
+_INSERT = re.compile(r"(?is)^\s*insert\s+(into|overwrite)\s+(?:table\s+)?([\w.`]+)")
+_ROWS = re.compile(r"(?is)^\s*insert\s+into\s+(?:table\s+)?([\w.`]+)\s*(?:\(([^()]*)\))?\s*values\s*\(\s*\?(?:\s*,\s*\?)*\s*\)\s*;?\s*$")
 _KINDS = ("select", "with", "values", "insert", "update", "delete", "merge", "create", "drop", "alter", "truncate", "set", "explain", "describe", "show", "use", "cache", "analyze")
 OPTIONS = {
     "threads": "spark.sql.shuffle.partitions",
@@ -67,12 +72,47 @@ class Database:
             install(s)
 
 
+def bare(sql: str) -> str:
+    """The statement with blanks in place of strings, quoted names and comments, so that places stay the same."""
+    return _QUOTED.sub(lambda m: " " * len(m[0]), sql)
+
+
+def main_words(sql: str) -> list[str]:
+    """The words outside of parentheses that may name what a statement does: the first, and after WITH or FROM all further ones."""
+    depth, words = 0, []
+    for m in re.finditer(r"[()]|[A-Za-z_]\w*", bare(sql)):
+        depth += {"(": 1, ")": -1}.get(m[0], 0)
+        if depth == 0 and m[0] not in "()":
+            words.append(m[0].lower())
+    return words if words[:1] in (["with"], ["from"]) else words[:1]
+
+
 def statement_type(sql: str) -> str:
-    """The kind of a statement, from its first word; 'invalid' if that is none."""
-    text = re.sub(r"(?s)^(\s|--[^\n]*\n|/\*.*?\*/)*", "", sql)
-    word = re.match(r"[A-Za-z]+", text)
-    found = word[0].lower() if word else ""
-    return {"with": "select", "values": "select"}.get(found, found) if found in _KINDS else "invalid"
+    """The kind of a statement: its first word, or what follows common table expressions; 'invalid' if that is none."""
+    words = main_words(sql)
+    if words[:1] in (["with"], ["from"]):
+        return next((w for w in words if w in _WRITES), "select")
+    found = words[0] if words else "select" if bare(sql).lstrip().startswith("(") else ""
+    return {"values": "select"}.get(found, found) if found in _KINDS else "invalid"
+
+
+def quote_name(name: str) -> str:
+    """A name as it stands in SQL, whatever letters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quote_text(text: str) -> str:
+    """A string literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def with_colons(sql: str) -> str:
+    """$1 and $name as :_1 and :name; strings, quoted names and comments stay as they are."""
+    plain, out, at = bare(sql), [], 0
+    for m in re.finditer(r"\$(\w+)", plain):
+        out += [sql[at : m.start()], ":_" if m[1].isdigit() else ":", m[1]]
+        at = m.end()
+    return "".join([*out, sql[at:]])
 
 
 class Connection:
@@ -92,12 +132,26 @@ class Connection:
         return self.spark.conf.get(key) if key else self.config.values.get(name)
 
     def execute(self, sql: str, parameters: Sequence[Any] | Mapping[str, Any] | None = None) -> Result:
-        """One statement, with ? and a sequence or :name and a mapping. Commands run at once, queries when rows are fetched."""
-        if self.read_only and _WRITES.match(sql):
+        """One statement, with ? or $1 and a sequence, or :name or $name and a mapping. Commands run at once, queries when rows are fetched."""
+        kind = statement_type(sql)
+        if self.read_only and (kind in _WRITES or main_words(sql)[:1] and main_words(sql)[0] in _WRITES):
             raise PermissionError("the connection is read-only")
         args = dict(parameters) if isinstance(parameters, Mapping) else list(parameters) if parameters is not None else None
+        if "$" in bare(sql):
+            sql = with_colons(sql)
+            args = {f"_{i}": v for i, v in enumerate(args, 1)} if isinstance(args, list) else args
         with translated():
-            return Result(self.spark.sql(sql, args=args) if args is not None else self.spark.sql(sql), statement_type(sql))
+            count = self._counter(sql) if kind == "insert" else None
+            result = Result(self.spark.sql(sql, args=args) if args is not None else self.spark.sql(sql), kind)
+            result.rows_changed = count() if count else 0
+            return result
+
+    def _counter(self, sql: str) -> Callable[[], int] | None:
+        """Gives the rows that an INSERT adds, from the table's row counts, which columnar files have in their footers."""
+        if not (m := _INSERT.match(bare(sql))) or not self.spark.catalog.tableExists(name := sql[m.start(2) : m.end(2)]):
+            return None
+        before = self.spark.table(name).count() if m[1].lower() == "into" else 0
+        return lambda: self.spark.table(name).count() - before
 
     sql = execute
 
@@ -105,7 +159,15 @@ class Connection:
         return Prepared(self, sql)
 
     def executemany(self, sql: str, rows: Iterable[Sequence[Any] | Mapping[str, Any]]) -> int:
-        """The statement for each row of parameters, results discarded; an Appender is the way for many rows."""
+        """The statement for each row of parameters, results discarded. INSERT INTO ... VALUES (?, ...) loads all rows at once."""
+        if (m := _ROWS.match(sql)) and not self.read_only and self.spark.catalog.tableExists(m[1]):
+            rows = list(rows)
+            fields = {f.name.lower(): f for f in self.spark.table(m[1]).schema}
+            names = [x.strip().strip("`").lower() for x in m[2].split(",")] if m[2] else list(fields)
+            if all(n in fields for n in names) and all(not isinstance(r, Mapping) and len(r) == len(names) for r in rows):
+                with translated(), Appender(self.spark, m[1]) as load:
+                    load.append_rows([dict(zip(names, r, strict=True)).get(n) for n in fields] for r in rows)
+                return len(rows)
         n = 0
         for n, row in enumerate(rows, 1):  # noqa: B007
             self.execute(sql, row)
@@ -136,19 +198,24 @@ class Connection:
         return self._rewrite(name, where, None)
 
     def _rewrite(self, name: str, where: str, values: Mapping[str, str] | None) -> int:
+        """The new rows go to a table like the old one; the two change names, and only then the old one is dropped, so that the rows are in one of them at any time."""
         from pyspark.sql import functions as F
 
         if self.read_only:
             raise PermissionError("the connection is read-only")
         with translated():
             rows, hit = self.spark.table(name), F.coalesce(F.expr(where), F.lit(False))
+            if unknown := set(values or ()) - set(rows.columns):
+                raise ValueError(f"{name} has no columns {sorted(unknown)}")
             n = rows.where(hit).count()
             if n == 0:
                 return 0
             new = rows.where(~hit) if values is None else rows.select(*[F.when(hit, F.expr(values[c]).cast(rows.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in rows.columns])
-            new.write.mode("overwrite").saveAsTable(f"{name}__new")
-            self.spark.sql(f"DROP TABLE {name}")
+            self.spark.sql(f"CREATE TABLE {name}__new LIKE {name}")
+            new.write.mode("append").insertInto(f"{name}__new")
+            self.spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
             self.spark.sql(f"ALTER TABLE {name}__new RENAME TO {name}")
+            self.spark.sql(f"DROP TABLE {name}__old")
         return n
 
     def close(self) -> None:
@@ -166,18 +233,24 @@ class Prepared:
     """A statement kept with its parameters; Spark plans it anew at each execution."""
 
     def __init__(self, connection: Connection, sql: str):
-        self.connection, self.sql, self.values = connection, sql, {}
-        plain = re.sub(r"'(?:[^']|'')*'|`[^`]*`|--[^\n]*", "", sql)
+        self.connection, self.sql, self.values = connection, with_colons(sql), {}
+        plain = bare(with_colons(sql))
         self.names = list(dict.fromkeys(re.findall(r"(?<!:):([A-Za-z_]\w*)", plain)))
         self.count = plain.count("?") or len(self.names)
         if statement_type(sql) == "invalid":
             raise ValueError("not a statement")
         if statement_type(sql) == "select":
             with translated():
-                connection.spark.sql(sql, args={n: None for n in self.names} if self.names else [None] * self.count or None)
+                connection.spark.sql(self.sql, args={n: None for n in self.names} if self.names else [None] * self.count or None)
+
+    def index(self, name: str) -> int:
+        """The place of a named parameter, from 1."""
+        return self.names.index(name) + 1
 
     def bind(self, parameter: int | str, value: Any) -> Prepared:
-        """By name, or by place from 1."""
+        """By name, or by place from 1; $1 has the place 1."""
+        if isinstance(parameter, int) and f"_{parameter}" in self.names:
+            parameter = f"_{parameter}"
         known = parameter in self.names if isinstance(parameter, str) else 1 <= parameter <= self.count
         if not known:
             raise KeyError(parameter)
@@ -214,3 +287,18 @@ def default_connection() -> Connection:
 
 def sql(text: str, parameters=None) -> Result:
     return default_connection().execute(text, parameters)
+
+
+execute = sql
+
+
+def read_csv(path: str) -> Result:
+    return default_connection().read_csv(path)
+
+
+def read_parquet(path: str) -> Result:
+    return default_connection().read_parquet(path)
+
+
+def read_json(path: str, multiline: bool = False) -> Result:
+    return default_connection().read_json(path, multiline)

@@ -9,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 
-_DEFAULT = object()
-
 
 class Appender:
     """Loads a table row by row. Rows are seen by others after flush or close; leaving a with block closes it."""

@@ -8,7 +8,7 @@ from sparkloom.functions import aggregate, extension, scalar, table
 from sparkloom.functions.replace import Replacements
 from sparkloom.operators import joins
 from sparkloom.result import ResultError
-from sparkloom.session import Config, Database, connect, statement_type
+from sparkloom.session import Config, Database, connect, quote_name, quote_text, statement_type
 from sparkloom.sources.appender import Appender
 from sparkloom.streaming import windows
 
@@ -144,6 +144,73 @@ def test_table_functions_and_extension(spark):
     assert [r[0] for r in df.select(overloads.on(df, "id")).collect()] == [0, 2, 4]
 
 
+def test_parameter_forms(con):
+    assert con.execute("SELECT $1 - $2 AS x, '$3' AS y", [5, 2]).fetchone() == (3, "$3")
+    assert con.execute("SELECT $a * 2 AS x -- $b", {"a": 4}).fetchone()[0] == 8
+    p = con.prepare("SELECT $1 + $2 AS s /* $9 ? */")
+    assert p.count == 2 and p.bind(1, 1).bind(2, 2).execute().fetchone()[0] == 3
+    named = con.prepare("SELECT :b AS b, :a AS a")
+    assert named.index("a") == 2
+
+
+def test_read_only_is_told_by_what_a_statement_does(con, spark):
+    con.execute("DROP TABLE IF EXISTS ro")
+    con.execute("CREATE TABLE ro (a INT) USING parquet")
+    con.config.set("access_mode", "READ_ONLY")
+    con.read_only = True
+    for text in ("/* c */ INSERT INTO ro VALUES (1)", "WITH x AS (SELECT 1) INSERT INTO ro SELECT * FROM x", "FROM (SELECT 1) INSERT INTO ro SELECT *", "-- a\nDROP TABLE ro", "TRUNCATE TABLE ro"):
+        with pytest.raises(PermissionError):
+            con.execute(text)
+    with pytest.raises(PermissionError):
+        con.executemany("INSERT INTO ro VALUES (?)", [(1,)])
+    assert con.execute("WITH x AS (SELECT 'insert into' AS t) SELECT * FROM x").fetchone()[0] == "insert into"
+    assert con.execute("(SELECT count(*) FROM ro)").fetchone()[0] == 0
+
+
+def test_rows_changed_and_many_rows(con):
+    con.execute("DROP TABLE IF EXISTS many")
+    con.execute("CREATE TABLE many (id INT, name STRING, tags ARRAY<INT>) USING parquet")
+    assert con.execute("INSERT INTO many VALUES (1, 'a', array(1)), (2, NULL, NULL)").rows_changed == 2
+    assert con.execute("WITH x AS (SELECT 1) SELECT * FROM x").rows_changed == 0
+    assert con.executemany("INSERT INTO many (name, id) VALUES (?, ?)", [(f"n{i}", i) for i in range(3, 500)]) == 497
+    assert con.execute("SELECT count(*), count(tags), max(id) FROM many").fetchone() == (499, 1, 499)
+    assert con.executemany("INSERT INTO many SELECT :i, 'x', NULL", [{"i": 1000}, {"i": 1001}]) == 2
+    assert con.execute("SELECT count(*) FROM many").fetchone()[0] == 501
+    with pytest.raises(ValueError, match="no columns"):
+        con.update("many", {"nothing": "1"})
+    batches = list(con.execute("SELECT id, named_struct('n', name, 'm', map('k', id)) AS s FROM many ORDER BY id").chunks(200))
+    assert [b.num_rows for b in batches] == [200, 200, 101] and batches[0].column(1)[0].as_py() == {"n": "a", "m": [("k", 1)]}
+    assert con.execute(f"SELECT {quote_text(chr(39) + chr(92))} AS {quote_name('a `b`')}").fetchall().table.to_pydict() == {"a `b`": ["'" + chr(92)]}
+
+
+def test_rewritten_tables_keep_their_partitions(con):
+    con.execute("DROP TABLE IF EXISTS parted")
+    con.execute("CREATE TABLE parted (id INT, p INT) USING parquet PARTITIONED BY (p)")
+    con.execute("INSERT INTO parted VALUES (1, 1), (2, 1), (3, 2)")
+    assert con.update("parted", {"id": "id * 10"}, "p = 1") == 2 and con.delete("parted", "p = 2") == 1
+    assert sorted(con.execute("SELECT id FROM parted").fetchall().column("id")) == [10, 20]
+    assert con.execute("SHOW PARTITIONS parted").fetchall().rows() == [("p=1",)]
+
+
+def test_unstable_extensions(spark, monkeypatch):
+    from sparkloom.functions import arithmetic
+
+    monkeypatch.setattr(arithmetic, "UNSTABLE", True, raising=False)
+    with pytest.raises(ImportError, match="may change"):
+        extension.load(spark.newSession(), "sparkloom.functions.arithmetic")
+    extension.load(spark.newSession(), "sparkloom.functions.arithmetic", allow_unstable=True)
+
+
+def test_asof_takes_the_last_row_even_if_null(spark):
+    left = spark.createDataFrame([(1, "2024-01-02 10:00:00"), (1, "2024-01-03 10:00:00"), (2, "2024-01-01 00:00:00")], "k int, t string").withColumn("t", F.to_timestamp("t"))
+    right = spark.createDataFrame([(1, "2024-01-02 08:00:00", 5.0), (1, "2024-01-02 09:00:00", None)], "k int, t string, v double").withColumn("t", F.to_timestamp("t"))
+    for bucket in (None, "day"):
+        assert [r["v"] for r in joins.asof(left, right, ["k"], "t", "v", bucket).collect()] == [None] * 3
+    right = right.where("v IS NOT NULL")
+    for bucket in (None, "day"):
+        assert sorted(str(r["v"]) for r in joins.asof(left, right, ["k"], "t", "v", bucket).collect()) == ["5.0", "5.0", "None"]
+
+
 def test_asof_with_and_without_buckets(spark):
     e = spark.read.parquet(f"{SF}/events.parquet")
     left = e.where("event_id % 2 = 0").select("event_id", "user_id", "ts")
