@@ -461,8 +461,10 @@ def removal(docs: DataFrame) -> DataFrame:
     docs = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = bounds_of(docs, 2 * ranges)
-    places = shared_anchors(docs, ranges).groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
+    found = saved(shared_anchors(docs, ranges), "anchors")  # written, so that its exchange is gone before the texts move
+    places = found.groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
     classes = saved(_surroundings(docs.join(places, "doc_id").select("doc_id", F.col("text").cast("binary"), "codes"), bounds), "classes")
+    dropped(found)
     firsts = classes.where("data IS NOT NULL")
     several = firsts.groupBy("gram").agg(F.min(F.xxhash64("data")).alias("lo"), F.max(F.xxhash64("data")).alias("hi")).where("lo != hi").select("gram")
     several = saved(firsts.join(several, "gram").select("doc_id", "start", "data"), "several")
