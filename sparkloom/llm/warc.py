@@ -14,9 +14,9 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate
 from urllib.parse import urlsplit
 
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -238,46 +238,68 @@ def _told(data: bytes, payloads: bool) -> tuple:
 
 
 def look_up(urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
-    """The captures of the URLs in the column url, each once.
+    """The captures of the URLs in the column url, each once. A null URL finds nothing."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(map(url_key, batch.column(0).to_pylist()), pa.string())], names=["url_key"])
+
+    return search(urls.where("url IS NOT NULL").select(F.col("url").cast("string")).distinct().mapInArrow(keyed, "url_key string"), directory, folder)
+
+
+def search(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """The captures of the keys in the column url_key, each once, by the two levels of the index.
 
     The driver holds the key range of every shard (as many as partitions when the index was made).
     Look-ups are dealt out by shard; a task reads the directory of a shard once, finds the blocks
-    of a key by binary search and reads only those. A null URL finds nothing.
+    of a key by binary search and reads only those. Lines of one key, however many, leave block by
+    block.
     """
     ranges = sorted(tuple(r) for r in directory.groupBy("shard").agg(F.min("first_key"), F.max("last_key")).select("min(first_key)", "max(last_key)", "shard").collect())
+    # largest key of the shards up to each, as shards that share a very common key overlap
+    firsts_of, reach = [r[0] for r in ranges], list(accumulate((r[1] for r in ranges), max))
 
-    def shards(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = [(key, s) for key in map(url_key, frame["url"]) for first, last, s in ranges if first <= key <= last]
-            yield pd.DataFrame(found, columns=["url_key", "shard"])
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for key in batch.column(0).to_pylist():
+                at = bisect.bisect_right(firsts_of, key) - 1
+                while at >= 0 and reach[at] >= key:
+                    if ranges[at][1] >= key:
+                        found.append((key, ranges[at][2]))
+                    at -= 1
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.string()) for k in (0, 1)], names=["url_key", "shard"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _files(folder)
-        shard, blocks, firsts, cached = None, [], [], (None, [])
+        shard, blocks, firsts, cached, hits = None, [], [], (None, []), []
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["shard"] != shard:
-                    shard = r["shard"]
+            for key, of in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if of != shard:
+                    shard = of
                     with files.open_input_file(f"{root}/{shard}.idx") as f:
                         blocks = json.loads(f.read())
                     firsts = [b[1] for b in blocks]
-                at = max(0, bisect.bisect_left(firsts, r["url_key"]) - 1)
-                hits = []
-                while at < len(blocks) and firsts[at] <= r["url_key"]:
+                at = max(0, bisect.bisect_left(firsts, key) - 1)
+                while at < len(blocks) and firsts[at] <= key:
                     if cached[0] != (shard, at):
                         cached = ((shard, at), _lines(files, f"{root}/{shard}.cdx.gz", blocks[at][3], blocks[at][4]))
                     lines = cached[1]
-                    lo = bisect.bisect_left(lines, r["url_key"], key=lambda x: x[0])
-                    while lo < len(lines) and lines[lo][0] == r["url_key"]:
-                        hits.append(lines[lo])
-                        lo += 1
+                    lo, hi = (side(lines, key, key=lambda x: x[0]) for side in (bisect.bisect_left, bisect.bisect_right))
+                    hits += lines[lo:hi]
                     at += 1
-                if hits:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*hits, strict=True), _TYPES, strict=True)], names=FIELDS)
+                    if len(hits) >= BLOCK_LINES:
+                        yield told(hits)
+                        hits = []
+        if hits:
+            yield told(hits)
+
+    def told(hits: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*hits, strict=True), _TYPES, strict=True)], names=FIELDS)
 
-    keys = urls.where("url IS NOT NULL").select(F.col("url").cast("string")).distinct().mapInPandas(shards, "url_key string, shard string").distinct()
-    n = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keys.repartitionByRange(n, "shard", "url_key").sortWithinPartitions("shard", "url_key").mapInArrow(run, CAPTURE)
+    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keys.select("url_key").distinct().mapInArrow(shards, "url_key string, shard string")
+    return dealt.repartitionByRange(n, "shard", "url_key").sortWithinPartitions("shard", "url_key").mapInArrow(run, CAPTURE)
 
 
 def folder_for(spark: SparkSession) -> str:
@@ -289,7 +311,8 @@ def folder_for(spark: SparkSession) -> str:
 
 
 def write_and_read(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Pages written as archives with an index, then read back through it: (page_id, payload_bytes, payload_digest, record_type, refers_to)."""
+    """Pages written as archives with an index, then every URL key looked up in it and its records read: (page_id, payload_bytes, payload_digest, record_type, refers_to). Jobs run when this is called."""
     folder = folder_for(pages.sparkSession)
-    directory = index(write(pages, folder, least_bytes), folder)
-    return read(captures_of(directory, folder), folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    captures = write(pages, folder, least_bytes)
+    found = search(captures.select("url_key"), index(captures, folder), folder)
+    return read(found, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -283,6 +283,20 @@ def test_warc(spark, none):
     assert warc.write_and_read(pages.where("false")).count() == 0
 
 
+def test_warc_very_common_url(spark, monkeypatch):
+    """One URL on most pages fills several blocks and shards, and is found whole."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 5)
+    rows = [(i, "http://x.example.com/a" if i % 10 else f"http://{'mz'[i % 20 == 0]}.example.com/{i}", f"<p>{i % 50}</p>") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    folder = warc.folder_for(spark)
+    captures = warc.write(pages, folder)
+    directory = warc.index(captures, folder, block_lines=5)
+    assert directory.groupBy("first_key").count().where("count > 1").count() >= 1
+    for url, n in (("http://x.example.com/a", 270), ("http://m.example.com/10", 1), ("http://no.example.com/", 0)):
+        assert warc.look_up(spark.createDataFrame([(url,), (url,), (None,)], "url string"), directory, folder).count() == n
+    assert sorted(r["page_id"] for r in warc.write_and_read(pages).collect()) == list(range(300))
+
+
 def test_warc_look_up(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     folder = warc.folder_for(spark)
