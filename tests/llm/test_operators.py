@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from sparkloom.llm import bpe, chat, decontaminate, fingerprints, jaccard, licenses, queries, secrets, shared, suffixes, toxicity, warc
 
@@ -545,14 +546,44 @@ def test_chat(spark):
     held = [r for r in got if r["held_out"]]
     assert sum(r["n_right"] for r in held) > 0.85 * sum(r["n_lines"] for r in held)
     lines = chat.transcripts(turns)
-    plain = spark.createDataFrame([(1, 0, 0, "User: hi there"), (1, 0, 1, "more of it"), (1, 0, 2, "Assistant: hello"), (1, 0, 3, None)], "conv_id bigint, segment bigint, place bigint, line string")
+    plain = spark.createDataFrame([(1, 0, 0, 0, "User: hi there"), (1, 0, 0, 1, "more of it"), (1, 0, 0, 2, "Assistant: hello"), (1, 0, 0, 3, None)], "conv_id bigint, part bigint, segment bigint, place bigint, line string")
     parsed = chat.rendered(chat.parse(plain, chat.fit(lines))).orderBy("turn").collect()
     assert [r["role"] for r in parsed][:2] == ["user", "assistant"] and parsed[0]["canonical"] == "<|user|>\nhi there\nmore of it\n<|end|>"
     odd = spark.createDataFrame([(None, None, None, None), (1, 1, "user", "a"), (1, 1, "user", "a"), (2, 500, "bot", "")], turns.schema)
-    assert chat.reported(odd).count() == 3
+    odd = {r["conv_id"]: r for r in chat.reported(odd).collect()}
+    assert odd.keys() == {None, 1, 2} and odd[1]["n_lines"] == 2  # equal rows are as many turns
+    assert chat.reported(turns.limit(0).unionByName(spark.createDataFrame([(None, i, "user", f"t{i}") for i in range(7)], turns.schema))).count() == 7
     assert chat.reported(turns.where("false")).count() == 0
 
 
+def test_chat_in_segments_is_as_likely_as_the_whole(spark):
+    """Conversations cut anywhere, within turns too, have a path of the same likelihood as when they are whole (equally likely ones are many), and its turns are put together again."""
+    rng = random.Random(21)
+    rows = [(c, t, rng.choice(["user", "assistant", "system"]), "\n".join(rng.choice(["what is it?", "a line of text", "", "x" * 90, "Bot: no"]) for _ in range(rng.randrange(1, 4)))) for c in range(12) for t in range(rng.randrange(1, 40))]
+    lines = chat.transcripts(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string"))
+    model = chat.fit(lines)
+    ranked = lines.withColumn("place", F.row_number().over(Window.partitionBy("conv_id").orderBy("place")))
+    score = lambda path, seen: model.start[path[0]] + model.shows[path[0], seen[0]] + sum(model.step[a, b] + model.shows[b, x] for a, b, x in zip(path, path[1:], seen[1:], strict=False))
+    for size in (2, 5, 1000):
+        cut = ranked.withColumn("segment", F.floor(F.col("place") / size).cast("bigint")).cache()
+        seen = chat.observed(cut).withColumn("seen", F.col("marker") * len(chat.FORMS) + F.col("form"))
+        at = {(r["conv_id"], r["segment"]): (r["before"], r["last"]) for r in chat.borders(seen, model).collect()}
+        held = collections.defaultdict(lambda: collections.defaultdict(list))
+        for r in sorted(seen.collect(), key=lambda r: r["place"]):
+            held[r["conv_id"]][r["segment"]].append(r["seen"])
+        turns = collections.defaultdict(list)
+        for r in sorted(chat.parse(cut, model).collect(), key=lambda r: r["turn"]):
+            turns[r["conv_id"]].append(r)
+        for conv, segments in held.items():
+            path = [s for k, v in sorted(segments.items()) for s in model.viterbi(np.array(v), *at.get((conv, k), (None, None)))]
+            whole = [x for _, v in sorted(segments.items()) for x in v]
+            assert abs(score(path, whole) - score(model.viterbi(np.array(whole)), whole)) < 1e-6
+            opens = [k for k, s in enumerate(path) if s % 2 == 0]
+            assert [r["turn"] for r in turns[conv]] == list(range(len(opens)))
+            assert [r["role"] for r in turns[conv]] == [chat.ROLES[path[k] // 2] for k in opens]
+            assert [r["n_lines"] for r in turns[conv]] == np.diff([*opens, len(path)]).tolist()
+
+
 def test_viterbi_equals_all_paths():
     import itertools
 
