@@ -225,17 +225,18 @@ def find(words: np.ndarray, cuts: np.ndarray, weight: np.ndarray, space: np.ndar
     norm = np.maximum(np.linalg.norm(pair, axis=1, keepdims=True), 1e-9)
     close = (pair / norm) @ items.vectors.T
     window, vector = np.nonzero(close >= COSINE)
-    cand = np.unique(window * len(items.words) + items.of[vector])
-    window, item = cand // len(items.words), cand % len(items.words)
+    item = items.of[vector]  # both ascend, so an item's vectors lie together
+    other = np.diff(window, prepend=-1) != 0
+    other |= np.diff(item, prepend=-1) != 0
+    window, item = window[other], item[other]
     # telling words that passage and item share, for all candidates at once
     ends = np.append(begin[1:], len(f))
     last = np.where(np.append(text[1:], -1) == text, np.arange(len(text)) + 1, np.arange(len(text)))
-    at = begin[window][:, None] + np.arange(2 * BLOCK)
-    inside = at < ends[last[window]][:, None]
-    told = np.where(inside, f[np.minimum(at, len(f) - 1)], FEATURES)
-    telling = np.append(weight > 0, False)[told]
-    shared = (items.telling[item[:, None], told] & telling).sum(axis=1)
-    enough = shared >= SHARED * np.minimum(telling.sum(axis=1), items.n_telling[item])
+    at = begin[:, None] + np.arange(2 * BLOCK)
+    told = np.where(at < ends[last][:, None], f[np.minimum(at, len(f) - 1)], FEATURES)
+    n_telling = (np.append(weight > 0, False)[told]).sum(axis=1)
+    shared = items.telling.ravel()[told[window] + (item * (FEATURES + 1))[:, None]].sum(axis=1)
+    enough = shared >= SHARED * np.minimum(n_telling[window], items.n_telling[item])
     pairs = list(zip(window[enough].tolist(), item[enough].tolist(), strict=True))
     if len(items.rare_words):
         pairs = sorted({*pairs, *by_words(words, cuts, text, begin, ends[last], items)})
