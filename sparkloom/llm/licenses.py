@@ -81,7 +81,7 @@ class Templates:
         return hit, self.order[at[hit]]
 
     def matches(self, block: np.ndarray, size: int) -> list[tuple[int, float]]:
-        """Templates that a block (sorted distinct numbers of template words; size: all its distinct words at most) holds, and the share held."""
+        """Templates that a block (sorted distinct numbers of template words; size: how many words it has, of templates or not) holds, and the share held."""
         tried, out = set(), []
         for place, w in enumerate(block):
             for t, position in self.prefix.get(int(w), ()):
@@ -120,14 +120,14 @@ class Templates:
         return len(held), table[end][-1][1], end - 1
 
 
-def blocks(key: np.ndarray, half: np.ndarray, hit: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places and numbers of the words of each block: two halves in a row of one key (a line); each word is in the block that its half begins and in the one before."""
+def blocks(key: np.ndarray, half: np.ndarray, hit: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Key and first half of each block, and places and numbers of its words: two halves in a row of one key (a line); each word is in the block that its half begins and in the one before."""
     rows = np.stack([np.tile(key, 2), np.concatenate([half, half - 1]), np.tile(hit, 2), np.tile(number, 2)])
     rows = rows[:, rows[1] >= 0]
     rows = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
     cuts = np.flatnonzero(np.any(np.diff(rows[:2], axis=1, prepend=-1) != 0, axis=0))
     for lo, hi in zip(cuts, [*cuts[1:], rows.shape[1]], strict=True):
-        yield rows[2, lo:hi], rows[3, lo:hi]
+        yield int(rows[0, lo]), int(rows[1, lo]), rows[2, lo:hi], rows[3, lo:hi]
 
 
 def word_frequency(docs: DataFrame, templates: dict[str, list[str]], text: str = "text") -> dict[str, int]:
@@ -199,14 +199,15 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] | None = None, contain
             at_line = line[hit]
             half = (hit - np.searchsorted(line, at_line)) // t.longest
             found: dict[tuple[int, int, int], float] = {}
-            for at, held in blocks(at_line, half, hit, number):
-                for k, share in t.matches(np.unique(held), 2 * t.longest):
+            words_of_line = np.bincount(line)
+            for key, begin, at, held in blocks(at_line, half, hit, number):
+                for k, share in t.matches(np.unique(held), min(2 * t.longest, int(words_of_line[key]) - begin * t.longest)):
                     inside = at[np.isin(held, t.sets[k])]
                     found.setdefault((k, int(inside[0]), int(inside[-1])), share)
             if line[-1]:
                 wrapped: dict[tuple[int, int, int], float] = {}
-                for at, held in blocks(np.zeros_like(hit), hit // t.longest, hit, number):
-                    for k, _ in t.matches(np.unique(held), 2 * t.longest):
+                for _, begin, at, held in blocks(np.zeros_like(hit), hit // t.longest, hit, number):
+                    for k, _ in t.matches(np.unique(held), min(2 * t.longest, len(starts) - begin * t.longest)):
                         n, first, last = t.in_order(k, held.tolist())
                         if n >= t.need[k] and line[at[first]] != line[at[last]]:
                             wrapped[k, int(at[first]), int(at[last])] = n / len(t.sets[k])
