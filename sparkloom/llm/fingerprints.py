@@ -137,6 +137,8 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
     return body.union(first.select(before[F.col("part")].alias("part"), F.lit(True).alias("is_copy"), "r.doc_id", "r.text"))
 
 
+#: Bytes of text of a task, about.
+PART_BYTES = 32 << 20
 COMPARED = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
@@ -149,7 +151,8 @@ def compared(docs: DataFrame) -> DataFrame:
     """
     import hashlib
 
-    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism)
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     rows = in_order(docs, 2 * n).repartition(n, "part").sortWithinPartitions("part", "is_copy", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

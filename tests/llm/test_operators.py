@@ -325,6 +325,14 @@ def test_fingerprints(spark, docs, edge, none):
         r = got[a["doc_id"]]
         assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and r["n_chars"] == len(a["text"])
         assert 0 <= r["near_next"] <= 1
+    # all fingerprints and likenesses, one text at a time
+    alone = lambda t: fingerprints.bins([t.encode()])
+    for a, b in zip(rows[:60], rows[1:61], strict=True):
+        n = len(a["text"]) // 2
+        mine, edited, following = alone(a["text"]), alone(a["text"][: len(a["text"]) - n] + b["text"][:n]), alone(b["text"])
+        r = got[a["doc_id"]]
+        assert [r["fingerprint"], r["edited_fingerprint"]] == [*fingerprints.told(mine), *fingerprints.told(edited)]
+        assert [r["near_edited"], r["near_next"]] == pytest.approx([fingerprints.likeness(mine, edited)[0], fingerprints.likeness(mine, following)[0]])
     long = [r for r in got.values() if r["n_chars"] > 500]
     assert sum(r["near_edited"] > r["near_next"] for r in long) > 0.95 * len(long)
     made = {(r["doc_id"], r["text"]): r["fingerprint"] for r in fingerprints.fingerprints(edge).collect()}
