@@ -195,7 +195,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "scor
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(batch.column(place).to_pylist()))], names=[*names, column])
+            for i in range(0, batch.num_rows, 200):  # codes take several times a text's room
+                part = batch.slice(i, 200)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.scores(part.column(place).to_pylist()))], names=[*names, column])
 
     return source.mapInArrow(run, source.withColumn(column, F.lit(0.0)).schema)
 
