@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -16,11 +18,18 @@ from pyspark.sql import functions as F
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_own: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, which has to be set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session (one process, as in tests) gets a folder of its own, and a cluster an error."""
     if root := spark.conf.get("spark.checkpoint.dir", None):
         return root.rstrip("/")
-    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not _own:
+        _own.append("file://" + tempfile.mkdtemp(prefix="sparkloom-"))
+    return _own[0]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
