@@ -368,7 +368,7 @@ def _compared(rows: DataFrame, data: DataFrame, percent: int, exact: bool) -> Da
 
 def _small(rows: DataFrame) -> DataFrame:
     """rows to be broadcast, if they are few."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
 def links_within(members: DataFrame, data: DataFrame, percent: int, exact: bool = True) -> DataFrame:
