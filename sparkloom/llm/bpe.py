@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Pairs are keyed as left * PAIR + right.
 PAIR = 1 << 20
 #: Distinct pieces of text from which on a task forgets their ids, and the longest whose ids it keeps.
-CACHE, CACHED_LENGTH = 300_000, 64
+CACHE, CACHED_LENGTH = 100_000, 64
 #: Not white space for Unicode, but for str.split.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 # Letters and numbers that the regex module knows and the vocabulary's own library, with an older Unicode, doesn't.
@@ -226,7 +226,7 @@ def default_vocabulary() -> str:
 
 
 #: Characters of text that are encoded together.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 500_000
 
 
 def groups_of(texts: list[str]) -> Iterator[slice]:
@@ -260,6 +260,7 @@ def _mapped(docs, path, source, target, kind, f, empty=""):
     schema = docs.select(*[docs[c] for c in names]).withColumn(target, F.lit(None).cast(kind)).schema
 
     def run(batches):
+        pa.default_memory_pool().release_unused()  # a worker may hold what an earlier stage took
         t = tokenizer(path)
         for batch in batches:
             values = ["" if x is None and empty == "" and kind != "string" else x for x in batch.column(source).to_pylist()]
