@@ -5,12 +5,17 @@ A user aggregate is a function from a Column to a Column, so it mixes with built
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 Reducer = Callable[[Column], Column]
 
@@ -64,36 +69,57 @@ def from_reduce(merge: Callable[[Column, Column], Column], init: Any, kind: str,
 def two_stage(df: DataFrame, by: list[str], value: str, update: Callable[[Any, pa.Array], Any], combine: Callable[[Any, Any], Any], finish: Callable[[Any], Any], init: Any, state: str, result: str) -> DataFrame:
     """A user aggregate by callbacks with a partial phase: rows (by, value).
 
-    update folds an Arrow array into a state, combine merges two states, finish ends. Each task
-    makes one state per group and batch; only states are shuffled. state and result are SQL types.
+    update folds an Arrow array into a state, combine merges two states, finish ends. Each task sorts
+    its rows by group and makes one state per group; only states are shuffled, and again sorted. A
+    task holds one batch and one state at a time. state and result are SQL types.
     """
-    keys = df.select(*by).schema
     partial_schema = df.select(*by, F.lit(None).cast(state).alias("state")).schema
     final_schema = df.select(*by, F.lit(None).cast(result).alias("value")).schema
-    place = {c: df.select(*by, value).columns.index(c) for c in by}
-
-    def partial(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch]).append_column("__i", pa.array(range(batch.num_rows)))
-            grouped = table.group_by(by, use_threads=False).aggregate([("__i", "list")]) if by else None
-            rows = [((), range(batch.num_rows))] if grouped is None else list(zip(zip(*(grouped.column(c).to_pylist() for c in by), strict=True), grouped.column("__i_list").to_pylist(), strict=True))
-            column = batch.column(batch.num_columns - 1)
-            states = [update(init, column.take(pa.array(list(at), pa.int64()))) for _, at in rows]
-            made = [pa.array([k[i] for k, _ in rows], batch.schema.field(place[c]).type) for i, c in enumerate(by)]
-            yield pa.RecordBatch.from_arrays([*made, pa.array(states)], names=[*by, "state"])
-
-    def final(table: pa.Table) -> pa.Table:
-        total = init
-        for s in table.column("state").to_pylist():
-            total = combine(total, s)
-        first = table.slice(0, 1).select(by)
-        return pa.table([*first.columns, pa.array([finish(total)])], names=[*by, "value"])
-
-    states = df.select(*by, value).mapInArrow(partial, partial_schema)
-    assert len(keys) == len(by)
-    return states.groupBy(*by).applyInArrow(final, final_schema)
+
+    def folded(schema: StructType, name: str, fold: Callable[[Any, pa.Array], Any], end: Callable[[Any], Any]):
+        kind = to_arrow_type(schema[-1].dataType)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            group, total = None, init
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                *keys, values = batch.columns
+                group = [k.slice(0, 1) for k in keys] if group is None else group
+                rows = [pa.concat_arrays(x) for x in zip(group, keys, strict=True)]
+                ends, made, at = _ends(rows, batch.num_rows), [], 0
+                for b in ends:
+                    made.append(end(fold(total, values.slice(at, b - at)) if b > at else total))
+                    total, at = init, b
+                total = fold(total, values.slice(at))
+                yield pa.RecordBatch.from_arrays([*(r.take(pa.array(ends, pa.int64())) for r in rows), pa.array(made, kind)], names=[*by, name])
+                group = [k.slice(batch.num_rows - 1) for k in keys]
+            if group is not None:
+                yield pa.RecordBatch.from_arrays([*group, pa.array([end(total)], kind)], names=[*by, name])
+
+        return run
+
+    def merged(total: Any, states: pa.Array) -> Any:
+        return reduce(combine, states.to_pylist(), total)
+
+    def in_order(rows: DataFrame) -> DataFrame:
+        return rows.sortWithinPartitions(*by) if by else rows
+
+    states = in_order(df.select(*by, value)).mapInArrow(folded(partial_schema, "state", update, lambda s: s), partial_schema)
+    states = states.repartition(*by) if by else states.repartition(1)
+    return in_order(states).mapInArrow(folded(final_schema, "value", merged, finish), final_schema)
+
+
+def _ends(keys: list[pa.Array], n: int) -> list[int]:
+    """Of n + 1 rows in order those, from 0, after which another group begins. As in a grouping, nulls are equal, and so are NaNs."""
+    end = np.zeros(n, bool)
+    for k in keys:
+        a, b = k.slice(0, n), k.slice(1)
+        differ = pc.fill_null(pc.not_equal(a, b), False)
+        if pa.types.is_floating(k.type):
+            differ = pc.and_not(differ, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+        end |= pc.or_(differ, pc.xor(a.is_null(), b.is_null())).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(end).tolist()
 
 
 class AggregateSet:

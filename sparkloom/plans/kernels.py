@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,12 +77,18 @@ _FEW = "WHERE l_orderkey < 8"
 
 
 def agg_reduce_max_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A merge by callbacks in two stages: no task and no row holds all values of a supplier."""
-    least = float("-inf")
+    """A merge by callbacks in two stages: no task and no row holds all values of a supplier. NaN counts as the largest value."""
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_quantity").cast("double").alias("l_quantity"))
-    update = lambda state, values: max([state, *(v for v in values.to_pylist() if v is not None)])
-    found = agg.two_stage(rows, ["l_suppkey"], "l_quantity", update, max, lambda state: state, least, "double", "double")
-    return found.select("l_suppkey", F.round(F.nullif("value", F.lit(least)), 6).alias("value"))
+
+    def greatest(a: float | None, b: float | None) -> float | None:
+        return b if a is None or b is not None and (b > a or b != b) else a
+
+    def update(state: float | None, values: pa.Array) -> float | None:
+        values = values.drop_null()
+        return greatest(state, float(values.to_numpy().max())) if len(values) else state
+
+    found = agg.two_stage(rows, ["l_suppkey"], "l_quantity", update, greatest, lambda state: state, None, "double", "double")
+    return found.select("l_suppkey", F.round("value", 6).alias("value"))
 
 
 def agg_product_all(spark: SparkSession, sf_dir: str) -> DataFrame:

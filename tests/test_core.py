@@ -234,3 +234,33 @@ def test_batch_function(spark):
     f = scalar.batch(double, "bigint")
     assert [r[0] for r in spark.range(3).select(f("id")).collect()] == [0, 2, 4]
     assert isinstance(spark.range(2).toArrow(), pa.Table)
+
+
+def test_two_stage_makes_one_state_of_a_group_in_a_task(spark):
+    """Groups that reach over batches, keys that are null or NaN, and states of nothing but null."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "50")
+    try:
+        made = spark.sparkContext.accumulator(0)
+        nan = float("nan")
+        rows = [(g, h, i if g != "d" else None) for i in range(300) for g, h in (("a", 1.0), ("a", nan), ("b", None), (None, 0.0), ("c", -0.0 if i % 2 else 0.0), ("d", 2.0))]
+        df = spark.createDataFrame(rows, "g string, h double, x bigint").repartition(3)
+
+        def combine(a, b):
+            made.add(1)
+            return b if a is None else a if b is None else a + b
+
+        def update(s, a):
+            return s if (n := pc.sum(a).as_py()) is None else n + (s or 0)
+
+        got = aggregate.two_stage(df, ["g", "h"], "x", update, combine, lambda s: s, None, "bigint", "bigint").collect()
+        total = sum(range(300))
+        want = [("a", "1.0", total), ("a", "nan", total), ("b", "None", total), ("None", "0.0", total), ("c", "0.0", total), ("d", "2.0", None)]
+        assert sorted((str(r["g"]), str(abs(r["h"]) if r["h"] is not None else None), r["value"]) for r in got) == sorted((str(g), h, v) for g, h, v in want)
+        assert made.value == 3 * len(want)
+        whole = aggregate.two_stage(df, [], "x", update, combine, lambda s: s, None, "bigint", "bigint").collect()
+        assert [tuple(r) for r in whole] == [(5 * total,)]
+        assert aggregate.two_stage(df.where("false"), ["g"], "x", update, combine, lambda s: s, None, "bigint", "bigint").count() == 0
+    finally:
+        spark.conf.set(name, before)

@@ -51,3 +51,10 @@ def test_reduce_by_supplier_collects_no_group(spark, tmp_path):
     df = registry.queries()["agg_reduce_max_by_supplier"](spark, str(tmp_path))
     assert "collect_list" not in df._jdf.queryExecution().toString()
     assert sorted(map(tuple, df.collect())) == [(1, 4999.0), (2, None), (3, 7.5)]
+
+
+def test_reduce_by_supplier_takes_nan_as_largest(spark, tmp_path):
+    rows = [(1, 2.0), (1, math.nan), (1, 3.0), (2, -math.inf), (3, None), (None, 4.0), (None, 5.0)]
+    spark.createDataFrame(rows, "l_suppkey bigint, l_quantity double").repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = registry.queries()["agg_reduce_max_by_supplier"](spark, str(tmp_path)).collect()
+    assert {r[0]: str(r[1]) for r in got} == {1: "nan", 2: "-inf", 3: "None", None: "5.0"}
