@@ -78,13 +78,24 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(mix(s + np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
 
 
-def ranked(counts: np.ndarray) -> np.ndarray:
-    """A byte for each counter that grows with its count: 192 quantiles, and finer steps above the 99th hundredth."""
-    met = counts[counts > 0]
-    if not len(met):
-        return np.zeros(len(counts), np.uint8)
-    edges = np.concatenate([np.quantile(met, np.linspace(0, 1, 192)), np.geomspace(np.quantile(met, 0.99), met.max(), 60)])
-    return np.searchsorted(np.unique(edges), counts, side="left").astype(np.uint8)
+def coarse(counts: np.ndarray) -> np.ndarray:
+    """counts with only their 10 highest bits, so that there are at most some thousands of different ones."""
+    low = np.maximum(np.frexp(counts.astype(np.float64))[1].astype(np.int64) - 10, 0)
+    return counts >> low << low
+
+
+def edges_of(values: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Edges of ranks for counters that have these values (ascending, above 0), each so many times: 192 quantiles, and finer steps above the 99th hundredth."""
+    if not len(values):
+        return np.zeros(0)
+    met = np.cumsum(times)
+    quantiles = values[np.searchsorted(met, np.append(np.linspace(0, 1, 192), 0.99) * met[-1]).clip(max=len(values) - 1)]
+    return np.unique(np.concatenate([quantiles[:-1], np.geomspace(quantiles[-1], values[-1], 60)]))
+
+
+def ranked(counts: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """A byte for each counter that grows with its count."""
+    return np.searchsorted(edges, counts, side="left").astype(np.uint8)
 
 
 def rare(s: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
@@ -254,14 +265,30 @@ def nodes_of(docs: DataFrame, width: int) -> tuple[DataFrame, np.ndarray]:
         for batch in batches:
             for k, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 sums[k] = sums.get(k, np.int64(0)) + np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["k", "sums"])
+        for k, x in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["k", "sums"])
+
+    def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(1):
+                found = np.unique(coarse(np.frombuffer(x.as_buffer(), np.int64)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in found], names=["value", "times"])
+
+    def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [ranked(np.frombuffer(x.as_buffer(), np.int64), edges).tobytes() for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["k", "ranks"])
 
     rows = saved(_mapped(docs, "doc_id bigint, n bigint, node bigint, bits binary, counter boolean", width, one, last), "sets")
-    found = rows.where("counter").select("node", "bits").repartition("node").mapInArrow(added, "k bigint, sums binary").toArrow()
-    counts = np.zeros((SLICES, COUNTERS // SLICES), np.int64)
-    for k, x in zip(found.column(0).to_pylist(), found.column(1).to_pylist(), strict=True):
-        counts[k] = np.frombuffer(x, np.int64)
-    return rows.where("NOT counter").drop("counter"), ranked(counts.ravel())
+    # the sums stay in tasks; the driver gets the different counts, and then a byte for each counter
+    sums = saved(rows.where("counter").select("node", "bits").repartition("node").mapInArrow(added, "k bigint, sums binary"), "counts")
+    met = sums.mapInArrow(values, "value bigint, times bigint").where("value > 0").groupBy("value").agg(F.sum("times").alias("times")).sort("value").toArrow()
+    edges = edges_of(met.column(0).to_numpy(), met.column(1).to_numpy())
+    out = np.zeros((SLICES, COUNTERS // SLICES), np.uint8)
+    for r in sums.mapInArrow(ranks, "k bigint, ranks binary").toLocalIterator():
+        out[r["k"]] = np.frombuffer(r["ranks"], np.uint8)
+    dropped(sums)
+    return rows.where("NOT counter").drop("counter"), out.ravel()
 
 
 def shared_parts(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -> DataFrame:
