@@ -15,6 +15,7 @@ members that may link become one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,8 @@ BROADCAST_ROWS = 500_000
 SLICES = 64
 #: Nodes and shingles of a block, of which one task holds two at a time; larger groups are cut.
 GROUP_NODES, GROUP_SHINGLES = 4000, 1_000_000
+#: Shingles that blocks of cut groups may always have together in one round.
+ROUND_SHINGLES = 16_000_000
 #: Children of a tree node.
 FANOUT = 16
 #: Bits of the filter of documents whose sets are needed.
@@ -117,12 +120,13 @@ class Tree:
     """A signature tree over sets: FANOUT neighbours of the given order under each node.
 
     levels[0] has the sets, and each further level the nodes above: bits (OR of the bitmaps), lo and
-    hi (sizes), excess (the most tokens that a set has beyond the bits that it fills).
+    hi (sizes), excess (the most tokens that a set has beyond the bits that it fills), share (that
+    of the bitmap's width which the widest map fills before it is repeated).
     """
 
-    def __init__(self, bits: np.ndarray, size: np.ndarray, excess: np.ndarray, order: np.ndarray, sets: list[np.ndarray] | None):
+    def __init__(self, bits: np.ndarray, size: np.ndarray, excess: np.ndarray, share: np.ndarray, order: np.ndarray, sets: list[np.ndarray] | None):
         self.members, self.sets = order, sets and [sets[i] for i in order]
-        self.levels = [(bits[order], size[order], size[order], excess[order])]
+        self.levels = [(bits[order], size[order], size[order], excess[order], share[order])]
         while len(self.levels[-1][0]) > 1 or len(self.levels) == 1:
             self.add_level()
 
@@ -134,27 +138,28 @@ class Tree:
             at = s & np.uint64(64 * words - 1)
             np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         size = np.array([len(s) for s in sets])
-        return cls(bits, size, size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64), np.lexsort((size, [s[0] for s in sets])), sets)
+        return cls(bits, size, size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64), np.ones(len(sets)), np.lexsort((size, [s[0] for s in sets])), sets)
 
     @classmethod
     def of_bitmaps(cls, maps: list[np.ndarray], size: np.ndarray, words: int) -> Tree:
         """maps: bitmaps of words or a half, a quarter, ... of them, which are repeated; neighbours are alike in size."""
         excess = size - np.array([int(np.bitwise_count(x).sum()) for x in maps])
-        return cls(np.array([np.tile(x, words // len(x)) for x in maps]), size, excess, np.argsort(size, kind="stable"), None)
+        share = np.array([len(x) / words for x in maps])
+        return cls(np.array([np.tile(x, words // len(x)) for x in maps]), size, excess, share, np.argsort(size, kind="stable"), None)
 
     def add_level(self) -> None:
-        bits, lo, hi, excess = self.levels[-1]
+        bits, lo, hi, excess, share = self.levels[-1]
         at = np.arange(0, len(bits), FANOUT)
-        self.levels.append((np.bitwise_or.reduceat(bits, at), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(excess, at)))
+        self.levels.append((np.bitwise_or.reduceat(bits, at), np.minimum.reduceat(lo, at), np.maximum.reduceat(hi, at), np.maximum.reduceat(excess, at), np.maximum.reduceat(share, at)))
 
 
 def may_link(a: tuple, b: tuple, percent: int) -> np.ndarray:
     """For each tree node of a and each of b, whether some member of the one may reach some member of the other."""
-    lo_a, hi_a, excess_a = (v[:, None] for v in a[1:])
-    lo_b, hi_b, excess_b = b[1:]
+    lo_a, hi_a, excess_a, share_a = (v[:, None] for v in a[1:])
+    lo_b, hi_b, excess_b, share_b = b[1:]
     need = -(-percent * (lo_a + lo_b) // (100 + percent))
-    # common tokens lie in common bits, one in each but for those that share a bit with another
-    common = np.bitwise_count(a[0][:, None] & b[0][None]).sum(axis=2, dtype=np.int64) + np.minimum(excess_a, excess_b)
+    # common tokens lie in common bits, one in each but for those that share a bit with another; bits of repeated maps count once
+    common = np.bitwise_count(a[0][:, None] & b[0][None]).sum(axis=2, dtype=np.int64) * np.maximum(share_a, share_b) + np.minimum(excess_a, excess_b)
     return (100 * hi_a >= percent * lo_b) & (100 * hi_b >= percent * lo_a) & (np.minimum(hi_a, hi_b) >= need) & (common >= need)
 
 
@@ -223,8 +228,12 @@ def _mapped(docs: DataFrame, schema: str, width: int, one, last=None, wanted=Non
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """A bit for each token, of as many as a power of two that is no less than the set's size."""
-    bits = 1 << max(6, (len(s) - 1).bit_length())
+    """A bit for each token, of as many as a power of two that is no less than twice the set's size.
+
+    With fewer, sets that have nothing in common but a rare shingle may link often enough that their
+    groups run together as the documents grow in number.
+    """
+    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
     out = np.zeros(bits, np.uint8)
     out[(s & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -318,9 +327,13 @@ def _allowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rows = zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)
             yield batch.filter(pa.array([pair_may_link(*r, percent) for r in rows], pa.bool_())).select(["a", "b"])
 
-    one, two = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("data").alias(f"bits_{x}")) for x in "ab")
-    rows = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    # sizes first, so that the bitmaps of most pairs are never moved
+    for x in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}")), x)
+    pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    for x in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(x), F.col("data").alias(f"bits_{x}")), x)
+    return pairs.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _tokens(docs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
@@ -404,7 +417,7 @@ def links_within(members: DataFrame, data: DataFrame, percent: int, exact: bool
     Groups that exceed a block are cut. Each block is joined with itself, then one member of each of
     its components with those of the others. Members outside of a group's largest component are
     joined, block by block, with all blocks of the group after that: of two members that still have
-    different components one at least is such a member.
+    different components one at least is such a member. These blocks pass in rounds.
     """
     placed = saved(_placed(members), "placed")
     own = lambda rows: rows.select("g", F.col("chunk").alias("i"), F.lit(-1).alias("j"), F.lit(0).alias("side"), "node", "n", "label")
@@ -421,7 +434,14 @@ def links_within(members: DataFrame, data: DataFrame, percent: int, exact: bool
     times = outside.groupBy("g").agg(F.max("chunks").alias("times"))
     stay = now.join(times, "g").select("g", F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("j"), F.lit(0).alias("side"), "node", "n", "label")
     visit = outside.select("g", F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "n", "label", "home")
-    return links.union(saved(_compared(stay.union(visit.where("i != home").drop("home")), data, percent, exact), "links"))
+    blocks = stay.union(visit.where("i != home").drop("home"))
+    # dealt out in rounds, so that the disk holds no more of them at a time than the groups themselves take
+    passing = now.join(times, "g").select((F.col("n") * F.col("times")).alias("n")).union(outside.select(F.col("n") * F.col("all")))
+    rounds = -(-(passing.agg(F.sum("n")).first()[0] or 0) // max(now.agg(F.sum("n")).first()[0], ROUND_SHINGLES))
+    for k in range(rounds):
+        own_round = F.pmod(F.xxhash64("g", "i", "j"), F.lit(rounds)) == k
+        links = links.union(saved(_compared(blocks.where(own_round), data, percent, exact), "links"))
+    return links
 
 
 def _placed(members: DataFrame) -> DataFrame:
@@ -431,6 +451,23 @@ def _placed(members: DataFrame) -> DataFrame:
     return members.join(members.groupBy("g").agg(chunks), "g").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows (g, node, n, label) of groups with several labels; of groups with equal nodes those of one."""
+    mixed = rows.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("lo != hi")
+    return saved(rows.join(mixed.groupBy("c", "h", "lo", "hi").agg(F.min("g").alias("g")).select("g"), "g"), "lists")
+
+
+def _by_size(rows: DataFrame, percent: int) -> DataFrame:
+    """rows (g, node, n, label) with each group cut into overlapping classes of sizes, so that two nodes whose sizes allow a link are together in one.
+
+    Sizes of a class span a little more than the largest ratio of two that link, which thus lie in
+    the same class or in neighbouring ones, and a node stands with its class and the next lower one.
+    """
+    step = max(math.log(100 / percent) * 1.000001, 1e-9)
+    at = F.floor(F.log("n") / step)
+    return rows.withColumn("class", F.explode(F.array(at, at + 1))).withColumn("g", F.xxhash64("g", "class")).drop("class")
+
+
 def _relabelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     """rows (node, label) with the labels after links."""
     names = rows.select("node", F.col("label").alias("b")).where("node != b").select(F.col("node").alias("a"), "b")
@@ -459,8 +496,8 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     near = saved(_allowed(others.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct(), sets, percent), "near")
     # lists of which the nodes besides the smallest reach over several groups, each different one once
     rooted = _relabelled(others.join(sets.select("node", "n"), "node").select(F.col("key").alias("g"), "node", "n", F.col("node").alias("label")), near)
-    mixed = rooted.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")).where("lo != hi")
-    lists = saved(rooted.join(mixed.groupBy("c", "h", "lo", "hi").agg(F.min("g").alias("g")).select("g"), "g"), "lists")
+    whole = _mixed(rooted)
+    lists = _mixed(_by_size(whole, percent))
     more = near if lists.isEmpty() else near.union(links_within(lists, sets.select("node", "data"), percent, exact=False))
     groups = saved(components(more).join(sets.select("node", "n", "doc_id"), "node").select(F.col("component").alias("g"), "node", "n", F.col("node").alias("label"), "doc_id"), "groups")
     tokens = _tokens(docs, groups, width)
@@ -470,7 +507,7 @@ def connected(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     named = first.join(found, "node").select("node", "component", "first")
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     named = saved(named.join(least, "component").select("node", "component_id"), "named")
-    dropped(parts, sets, tokens, near, more, lists, groups, links, found)
+    dropped(parts, sets, tokens, near, more, whole, lists, groups, links, found)
     alone = first.join(named, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
     return nodes.join(alone, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 

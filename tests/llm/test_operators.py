@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import random
 import re
 import tracemalloc
@@ -688,3 +689,53 @@ def test_jaccard_ranks_of_counts():
         assert (np.diff(ranks[np.argsort(counts, kind="stable")].astype(int)) >= 0).all()
     assert len(np.unique(ranks)) > 60
     assert len(np.unique(jaccard.coarse(np.arange(1 << 20)))) < 8192
+
+
+def test_jaccard_bitmaps_keep_unlike_sets_apart():
+    """Sets with little in common seldom pass the bound of bitmaps, alone and in a tree that a much larger set is in too; like ones always do."""
+    rng = np.random.default_rng(8)
+    new = lambda n: rng.integers(0, 2**64, n, dtype=np.uint64)
+    for n in (48, 64, 250, 512):
+        common = new(n // 5)
+        sets = [np.unique(np.concatenate([common, new(n - len(common))])) for _ in range(40)]
+        assert not any(jaccard.pair_may_link(n, n, jaccard.bitmap(a), jaccard.bitmap(b), 80) for a, b in itertools.combinations(sets, 2))
+        sets += [new(40 * n), np.append(sets[3][:-2], new(2)), new(40 * n)]
+        size = np.array([len(s) for s in sets])
+        maps = [np.frombuffer(jaccard.bitmap(s), np.uint64) for s in sets]
+        tree = jaccard.Tree.of_bitmaps(maps, size, max(map(len, maps)))
+        labels = np.arange(len(sets))
+        assert [sorted(x) for x in jaccard.tree_links(tree, tree, labels, labels, 80)] == [[3, 41]]
+
+
+def test_jaccard_deals_large_groups_in_rounds(spark, monkeypatch):
+    """Blocks of a group that is cut never pass all at once, and links stay whole."""
+    monkeypatch.setattr(jaccard, "GROUP_NODES", 8)
+    monkeypatch.setattr(jaccard, "ROUND_SHINGLES", 1)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**64, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: 57 - i % 4], rng.integers(0, 2**64, 3, dtype=np.uint64)])) for i in range(48)]
+    brute = spark.createDataFrame([(a, b) for a, b in itertools.combinations(range(48), 2) if jaccard.linked(sets[a], sets[b], 85)] or [(0, 0)], "a bigint, b bigint")
+    passed, compared = [], jaccard._compared
+
+    def watched(rows, *rest):
+        passed.append(rows.agg(F.sum("n")).first()[0] or 0)
+        return compared(rows, *rest)
+
+    monkeypatch.setattr(jaccard, "_compared", watched)
+    members = spark.createDataFrame([(0, i, len(s), i) for i, s in enumerate(sets)], "g bigint, node bigint, n bigint, label bigint")
+    data = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sets)], "node bigint, data binary")
+    links = jaccard.links_within(members, data, 85)
+    assert sorted(shared.components(links).collect()) == sorted(shared.components(brute).collect())
+    assert len(passed) > 4 and max(passed) <= 2 * sum(map(len, sets))
+
+
+def test_jaccard_size_classes_hold_all_pairs(spark):
+    rows = spark.createDataFrame([(1, n, n, n) for n in [*range(1, 400), 9_999, 12_000]], "g bigint, node bigint, n bigint, label bigint")
+    for percent in (80, 85, 100):
+        classes = collections.defaultdict(set)
+        for r in jaccard._by_size(rows, percent).collect():
+            classes[r["g"]].add(r["n"])
+        together = {p for c in classes.values() for p in itertools.combinations(sorted(c), 2)}
+        sizes = [r["n"] for r in rows.collect()]
+        assert {(a, b) for a, b in itertools.combinations(sizes, 2) if 100 * a >= percent * b} <= together
+        assert percent == 100 or all(max(c) * percent * percent <= 10_001 * min(c) for c in classes.values())
